@@ -1,0 +1,221 @@
+"""Operators on Spark: odd inputs, SQL counterparts, brute force."""
+
+import re
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from waymesh.llm import ann, dedup, html, language, licenses, media, mixing, packing, quality, queries, toxicity
+
+ROWS = [
+    (1, "The cat sat on the mat, the dog did not. " * 3, "en", "src1"),
+    (2, None, "en", "src1"),
+    (3, "", None, "src2"),
+    (4, "Der Hund und die Katze saßen auf der Matte. " * 3, "de", None),
+    (4, "Der Hund und die Katze saßen auf der Matte. " * 3, "de", None),
+    (None, "Released under the MIT License. Apache license", "en", "src1"),
+    (6, "... 123 !!!", "en", "src1"),
+    (7, "word " * 40_000, "en", "src1"),
+    (8, "THE cat sat on the mat, the dog did not. " * 3, "en", "src3"),
+]
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    # extra columns, some with the names that operators add
+    return spark.createDataFrame(ROWS, SCHEMA).withColumns({"toxicity": F.lit("x"), "labels": F.lit(1), "odd.name": F.lit(2), "n_words": F.lit(None).cast("int"), "epoch": F.lit("e")}).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.limit(0)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(1, 1, 0), (4, 0, 1), (4, 1, None), (8, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
+
+
+OPERATORS = {
+    "media": lambda d, la: media.media_column(d),
+    "language": lambda d, la: language.language_id(d),
+    "quality": lambda d, la: quality.quality(d, quality.graded(la)),
+    "toxicity": lambda d, la: toxicity.toxicity(d, la, spans=True),
+    "licenses": lambda d, la: licenses.scan(d),
+    "dedup": lambda d, la: dedup.near_duplicates(d, k=3, percent=85),
+    "packing": lambda d, la: packing.pack(d, queries.word_bpe()),
+    "mixing": lambda d, la: mixing.mix(d),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_odd_rows_and_empty_tables(name, docs, none, labels):
+    rows = OPERATORS[name](docs, labels).collect()
+    if name == "mixing":
+        assert 0 < len(rows) <= 2 * len(ROWS)
+    elif name == "packing":
+        assert {r.doc_id for r in rows} == {r[0] for r in ROWS} and sum(r.piece == 0 for r in rows) == len(ROWS)
+    else:
+        assert sorted((r.doc_id is None, r.doc_id or 0) for r in rows) == sorted((r[0] is None, r[0] or 0) for r in ROWS)
+    assert OPERATORS[name](none, labels).collect() == []
+
+
+def test_undetermined_language(docs):
+    got = {r.doc_id: r for r in language.language_id(docs).collect()}
+    assert got[2].lang_pred == got[3].lang_pred == got[6].lang_pred == "und" and got[1].lang_pred != "und"
+    assert got[6].lang_rejected and got[2].lang_score == 0
+
+
+def test_components_and_repeated_rows(docs):
+    got = {r.doc_id: r for r in dedup.near_duplicates(docs, k=3, percent=85).collect()}
+    assert got[8].component_id == 1 and not got[8].kept and got[1].kept
+    assert got[2].n_shingles == got[3].n_shingles == 0 and got[2].kept and got[None].kept
+    assert sorted(r.doc_id or 0 for r in dedup.deduplicated(docs, k=3, percent=85).collect()) == [0, 1, 2, 3, 4, 6, 7]
+
+
+def brute_components(texts, k, percent):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = {}
+    for i, t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower))
+        sets[i] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+    up = {i: i for i in sets}
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b]:
+                both = len(sets[a] & sets[b])
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    x, y = find(a), find(b)
+                    up[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}
+
+
+def test_dense_group_is_cut_into_blocks(spark):
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in rng.integers(0, 500, 120)]
+    texts = []
+    for i in range(150):
+        w = list(base) if i < 120 else [f"x{j}" for j in rng.integers(0, 500, 120)]
+        for _ in range(2):
+            w[int(rng.integers(0, 120))] = f"y{i}"
+        texts.append((i, " ".join(w)))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in dedup.near_duplicates(frame, k=3, percent=85, limit=16, group=20, depth=3).collect()}
+    assert got == brute_components(texts, 3, 85)
+
+
+def test_near_duplicates_equal_brute_force(spark, sf_dir):
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: r.component_id for r in queries.op3_near_duplicates(spark, sf_dir).collect()}
+    assert got == brute_components(texts, 3, 85)
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    c = duckdb.connect()
+    for t in ("documents", "embeddings", "pages", "labels", "benchmark"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    return c
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(name, spark, sf_dir, con):
+    got = queries.QUERIES[name](spark, sf_dir)
+    cols = sorted(got.columns)
+    rel = con.execute(queries.ORACLES[name])
+    names = [x[0] for x in rel.description]
+    assert sorted(names) == cols
+    show = lambda v: f"{v:.9g}" if isinstance(v, float) else repr(v)
+    want = sorted([show(r[names.index(c)]) for c in cols] for r in rel.fetchall())
+    assert sorted([show(r[c]) for c in cols] for r in got.collect()) == want
+
+
+def test_license_spans(spark):
+    rows = [(1, "we say: licensed under the Apache License, version 2.0 here"), (2, "mit license mit license"), (3, "general public licenses"), (4, "Permission is hereby granted, at no charge, to any person obtaining a copy of this software and associated documentation files")]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].labels, got[1].n_base, got[1].first_word) == ("apache", 1, 5)
+    assert (got[2].n_base, got[2].first_word, got[2].last_word, got[2].base_labels) == (2, 0, 2, "mit")
+    assert (got[3].n_base, got[3].first_word, got[3].labels) == (0, None, "")
+    assert got[4].labels == "mit" and 0.5 <= got[4].license_score < 1 and got[4].base_labels == ""
+
+
+def test_nearest_equal_brute_force(spark):
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((600, 16))
+    x[10:40] = x[9]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1050, [0.0] * 16), (1100, [float("nan")] + [1.0] * 15), (1150, [None] + [1.0] * 15), (1200, [1.0, 2.0]), (1250, [])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.nearest(frame, frame.filter(F.col("vec_id") % 50 == 0), block_bytes=2000).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 600, 50):
+        s = u @ u[q]
+        s[q] = -9
+        best = np.lexsort((np.arange(600), -np.round(s, 12)))[:5]
+        hit += len(set(best.tolist()) & {i for i, _ in got[q]})
+    assert hit >= 0.9 * 60 and set(got) == set(range(0, 600, 50))
+    assert ann.nearest(frame.limit(0), frame.limit(0)).collect() == []
+
+
+def test_pages(spark):
+    page = "<html><body><div class='lead'>same every time</div><div class='body'>{}</div></body></html>"
+    rows = [(i, f"http://a.example/{i}", page.format(f"text number {i}")) for i in range(8)] + [(90, None, None), (91, "http://b.example/", "<p>x"), (None, "http://b.example/", "")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("main_text", F.lit("old"))
+    for most in (100_000, 0):  # broadcast and salted join
+        got = {r.page_id: r for r in html.extract(frame, most_broadcast=most).collect()}
+        assert len(got) == len(rows) and got[3].main_text == "text number 3" and got[3].n_chars == 13
+        assert got[90].main_text == "" and got[91].main_text == "x" and got[None].n_chars == 0
+    assert html.extract(frame.limit(0)).collect() == []
+
+
+def test_budget_is_met_and_shortages_move_to_siblings(spark):
+    leaves = spark.createDataFrame([("d0", "en", "a", 100), ("d0", "en", "b", 10_000), ("d0", "de", "c", 5000), ("d1", "en", "d", 50), ("d2", "en", "e", 9000)], "domain string, language string, source string, tokens long")
+    got = {r.source: r for r in mixing.leaf_budgets(leaves, 0.5, 2).collect()}
+    total = 24_150 // 2
+    assert abs(sum(r.budget for r in got.values()) - total) <= 5
+    assert got["a"].budget == 200 and got["d"].budget == 100
+    assert all(r.budget <= r.capacity for r in got.values())
+    # what a can't take goes to b, its sibling, and leaves the share of German alone
+    english, german = got["a"].budget + got["b"].budget, got["c"].budget
+    assert english / german == pytest.approx(5 / 2, rel=0.01)
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    got = queries.op6_language_id(spark, sf).filter("held_out").join(docs, "doc_id")
+    assert got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0] > 0.97
+    truth = spark.read.parquet(f"{sf}/labels.parquet")
+    q = {r.quality: r.k for r in queries.op8_quality(spark, sf).join(truth, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("double")).alias("k")).collect()}
+    assert q[1] > 0.95 and q[0] < 0.5
+    t = {r.toxic: r.p for r in queries.op9_toxicity(spark, sf).join(truth, "doc_id").groupBy("toxic").agg(F.avg("predicted").alias("p")).collect()}
+    assert t[1] > 0.6 and t[0] < 0.05
+
+
+def test_pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        rows = out.count()
+        assert 0 < rows <= before * (2 if "mixing" in name else 1)
+        docs, before = out, rows
+    packed = corpus_pipeline.packing_stage(spark, docs, sf_dir)
+    assert packed.filter("piece = 0").count() == before
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 4096").count() == 0

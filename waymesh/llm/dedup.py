@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, U64, blocks, mix, text_bytes, word_hashes, written
@@ -99,21 +99,37 @@ def nodes(rows: DataFrame, trees: int, limit: int, depth: int, leaders: int = 8)
 
     Branching takes place within a scope. Nodes of one document are left out.
     """
-    live = rows.select("id", "sketch", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.xxhash64("scope").alias("path"))
-    done = []
-    for level in range(depth):
+
+    def child(level: int, path) -> Column:
         coordinate = F.pmod(F.xxhash64(F.lit(level * 7919 + 13), "tree"), F.lit(SKETCH)).cast("int") + 1
-        live = live.select("id", "sketch", "tree", F.xxhash64("path", "tree", F.element_at("sketch", coordinate)).alias("path"))
-        counts = live.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
-        # only ids and paths are shuffled for all rows; sketches follow for what is left
-        met = written(live.select("id", "tree", "path").join(counts, "path"))
-        done.append(met.filter(F.col("n") <= limit).select(F.col("path").alias("node"), "id"))
-        large = met.filter(F.col("n") > limit)
-        if large.isEmpty():
-            large = None
-            break
-        live = large.join(rows.select("id", "sketch"), "id")
-    if large is not None:
+        return F.xxhash64(path, "tree", F.element_at("sketch", coordinate))
+
+    def counted(live: DataFrame) -> DataFrame:
+        return live.join(live.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "path")
+
+    # the first level, over all documents: only ids and paths are shuffled
+    live = rows.select("id", "sketch", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.xxhash64("scope").alias("path"))
+    met = written(counted(live.select("id", "tree", child(0, "path").alias("path"))))
+    done = [met.filter(F.col("n") <= limit).select(F.col("path").alias("node"), "id")]
+    large = met.filter(F.col("n") > limit)
+    if depth > 1 and not large.isEmpty():
+        # all further levels of what is left at once; a document stays at its first node that is small enough
+        deep = large.select("id", "tree", "path").join(rows.select("id", "sketch"), "id")
+        paths = ["path"]
+        for level in range(1, depth):
+            deep = deep.withColumn(f"path{level}", child(level, paths[-1]))
+            paths.append(f"path{level}")
+        levels = F.array(*[F.struct(F.lit(i).alias("level"), F.col(c).alias("path")) for i, c in enumerate(paths[1:], 1)])
+        flat = deep.select("id", "tree", F.col("path").alias("root"), F.explode(levels).alias("x")).select("id", "tree", "root", "x.level", "x.path")
+        counts = flat.groupBy("path").agg(F.count("*").alias("n"))
+        fits = F.col("n") <= limit
+        ends = flat.join(counts, "path").groupBy("id", "tree", "root").agg(
+            F.min(F.when(fits, F.struct("level", "path", "n"))).alias("fit"), F.max(F.struct("level", "path", "n")).alias("last")
+        )
+        ends = written(ends.select("id", "tree", F.coalesce("fit", "last").alias("x")).select("id", "tree", "x.path", "x.n"))
+        done.append(ends.filter((F.col("n") > 1) & (F.col("n") <= limit)).select(F.col("path").alias("node"), "id"))
+        large = ends.filter(F.col("n") > limit)
+    if not large.isEmpty():
         heads = [F.min(F.struct(F.xxhash64(F.lit(j), "id", "tree").alias("h"), "id")).getField("id") for j in range(leaders)]
         n_blocks = F.ceil(F.col("n") / limit).cast("int")
         led = large.groupBy("path").agg(F.first("n").alias("n"), F.array_distinct(F.array(*heads)).alias("heads"))
@@ -177,7 +193,7 @@ def compared(rows: DataFrame, payload: str, make_linked) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 12, limit: int = 64, group: int = 1000, depth: int = 6, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, k: int = 5, percent: int = 80, trees: int = 12, limit: int = 64, group: int = 1000, depth: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """id_col, n_shingles, component_id (least id reachable by links of `percent` or more), kept, for every row."""
     meta = written(described(docs, k, id_col, text_col))
@@ -199,7 +215,6 @@ def near_duplicates(
 
     first = nodes(scoped, trees, limit, depth)
     coarse = components(compared(first.join(lead, "id"), "sketch", by_sketch))
-    coarse = written(coarse)
 
     def by_set(column: pa.Array):
         data, offsets = text_bytes(column)
@@ -222,12 +237,16 @@ def near_duplicates(
     placed = written(coarse.join(sizes, "component").withColumnRenamed("node", "id"))
     small = placed.filter(F.col("n") <= group).select(F.xxhash64("component").alias("node"), "id")
     big = placed.filter(F.col("n") > group)
-    if not big.isEmpty():
+    cut = not big.isEmpty()
+    if cut:
         scoped = big.join(lead, "id").select("id", F.col("component").alias("scope"), "sketch")
         small = small.unionByName(nodes(scoped, max(2, trees // 3), group, depth))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     confirmed = compared(texts.join(small, "id"), "text", by_set)
-    linked = components(confirmed.unionByName(through))
+    if cut or not twice.isEmpty():
+        linked = components(confirmed.unionByName(through))
+    else:  # every group was compared as a whole, so that its edges are stars around least ids already
+        linked = confirmed.select(F.col("u").alias("node"), F.col("v").alias("component")).filter("node <> component").distinct()
     final = reps.join(linked.withColumnRenamed("node", "id"), "id", "left").select(*sig, F.coalesce("component", "id").alias("component_id"))
     out = meta.select("id", *sig).join(final, sig, "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
