@@ -182,51 +182,64 @@ def line_distance(a: Column, b: Column) -> Column:
     return F.when(crossing, 0.0).otherwise(F.array_min(vertex_distances(a, b)))
 
 
-def within(xy: Column, other: Column, radius: float) -> Column:
-    """Metres of a line within `radius` of another (round caps): exact, by merged capsule intervals."""
+def capsule(s: Column, t: Column, radius: float) -> Column:
+    """STRUCT<lo, hi>, the parameters of piece s within a radius of piece t, or null."""
     r = F.lit(float(radius))
+    # interval of piece s (parameter 0..1) within r of piece t: hull of the two end discs and the slab
+    dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
+    n2 = F.nullif(dx * dx + dy * dy, F.lit(0.0))
+
+    def disc(c: Column) -> Column:
+        fx, fy = s["a"]["x"] - c["x"], s["a"]["y"] - c["y"]
+        b = fx * dx + fy * dy
+        q = b * b - n2 * (fx * fx + fy * fy - r * r)
+        root = F.sqrt(F.when(q >= 0, q))
+        return F.struct(((-b - root) / n2).alias("lo"), ((-b + root) / n2).alias("hi"))
+
+    ux, uy = t["b"]["x"] - t["a"]["x"], t["b"]["y"] - t["a"]["y"]
+    m = F.nullif(F.sqrt(ux * ux + uy * uy), F.lit(0.0))
+    ax, ay = s["a"]["x"] - t["a"]["x"], s["a"]["y"] - t["a"]["y"]
+    along0, along1 = (ax * ux + ay * uy) / m, (dx * ux + dy * uy) / m
+    off0, off1 = (ax * uy - ay * ux) / m, (dx * uy - dy * ux) / m
+
+    def slab(v0: Column, v1: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
+        p, q = (lo - v0) / F.when(v1 != 0, v1), (hi - v0) / F.when(v1 != 0, v1)
+        inside = (v0 >= lo) & (v0 <= hi)
+        a = F.when(v1 == 0, F.when(inside, F.lit(0.0)).otherwise(F.lit(2.0))).otherwise(F.least(p, q))
+        b = F.when(v1 == 0, F.when(inside, F.lit(1.0)).otherwise(F.lit(-1.0))).otherwise(F.greatest(p, q))
+        return a, b
+
+    a1, b1 = slab(along0, along1, F.lit(0.0), m)
+    a2, b2 = slab(off0, off1, -r, r)
+    box = F.struct(F.greatest(a1, a2).alias("lo"), F.least(b1, b2).alias("hi"))
+    parts = F.filter(F.array(disc(t["a"]), disc(t["b"]), box), lambda z: z["lo"].isNotNull() & (z["lo"] <= z["hi"]) & (z["hi"] > 0) & (z["lo"] < 1))
+    return F.when((n2 > 0) & (F.size(parts) > 0), F.struct(
+        F.greatest(F.lit(0.0), F.array_min(F.transform(parts, lambda z: z["lo"]))).alias("lo"),
+        F.least(F.lit(1.0), F.array_max(F.transform(parts, lambda z: z["hi"]))).alias("hi"),
+    ))
+
 
-    def covered(s: Column, t: Column) -> Column:
-        # interval of piece s (parameter 0..1) within r of piece t: hull of the two end discs and the slab
-        dx, dy = s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]
-        n2 = dx * dx + dy * dy
-
-        def disc(c: Column) -> Column:
-            fx, fy = s["a"]["x"] - c["x"], s["a"]["y"] - c["y"]
-            b = fx * dx + fy * dy
-            q = b * b - n2 * (fx * fx + fy * fy - r * r)
-            root = F.sqrt(F.when(q >= 0, q))
-            return F.struct(((-b - root) / n2).alias("lo"), ((-b + root) / n2).alias("hi"))
-
-        ux, uy = t["b"]["x"] - t["a"]["x"], t["b"]["y"] - t["a"]["y"]
-        m = F.sqrt(ux * ux + uy * uy)
-        ax, ay = s["a"]["x"] - t["a"]["x"], s["a"]["y"] - t["a"]["y"]
-        along0, along1 = (ax * ux + ay * uy) / m, (dx * ux + dy * uy) / m
-        off0, off1 = (ax * uy - ay * ux) / m, (dx * uy - dy * ux) / m
-
-        def slab(v0: Column, v1: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
-            p, q = (lo - v0) / F.when(v1 != 0, v1), (hi - v0) / F.when(v1 != 0, v1)
-            inside = (v0 >= lo) & (v0 <= hi)
-            a = F.when(v1 == 0, F.when(inside, F.lit(0.0)).otherwise(F.lit(2.0))).otherwise(F.least(p, q))
-            b = F.when(v1 == 0, F.when(inside, F.lit(1.0)).otherwise(F.lit(-1.0))).otherwise(F.greatest(p, q))
-            return a, b
-
-        a1, b1 = slab(along0, along1, F.lit(0.0), m)
-        a2, b2 = slab(off0, off1, -r, r)
-        box = F.struct(F.greatest(a1, a2).alias("lo"), F.least(b1, b2).alias("hi"))
-        parts = F.filter(F.array(disc(t["a"]), disc(t["b"]), box), lambda z: z["lo"].isNotNull() & (z["lo"] <= z["hi"]) & (z["hi"] > 0) & (z["lo"] < 1))
-        return F.when((n2 > 0) & (F.size(parts) > 0), F.struct(
-            F.greatest(F.lit(0.0), F.array_min(F.transform(parts, lambda z: z["lo"]))).alias("lo"),
-            F.least(F.lit(1.0), F.array_max(F.transform(parts, lambda z: z["hi"]))).alias("hi"),
-        ))
+def within(xy: Column, other: Column, radius: float) -> Column:
+    """Metres of a line within `radius` of another (round caps): exact, by merged capsule intervals."""
 
     def one(s: Column) -> Column:
-        spans = F.array_sort(F.filter(F.transform(pieces(other), lambda t: covered(s, t)), lambda z: z.isNotNull()))
+        spans = F.array_sort(F.filter(F.transform(pieces(other), lambda t: capsule(s, t, radius)), lambda z: z.isNotNull()))
         return union_length(spans) * distance(s["a"], s["b"])
 
     return total(F.transform(pieces(xy), one))
 
 
+def within_spans(xy: Column, other: Column, radius: float) -> Column:
+    """ARRAY<STRUCT<start, end>>: fractions of a line within `radius` of pieces of another, unmerged."""
+    whole = F.nullif(length(xy), F.lit(0.0))
+
+    def one(s: Column) -> Column:
+        spans = F.filter(F.transform(pieces(other), lambda t: capsule(s, t, radius)), lambda z: z.isNotNull())
+        return F.transform(spans, lambda z: F.struct(((s["m"] + z["lo"] * s["n"]) / whole).alias("start"), ((s["m"] + z["hi"] * s["n"]) / whole).alias("end")))
+
+    return F.flatten(F.transform(measured(xy), one))
+
+
 def union_length(spans: Column) -> Column:
     """Measure of the union of sorted ARRAY<STRUCT<lo, hi>>."""
     zero = F.struct(F.lit(0.0).alias("sum"), F.lit(-1e300).alias("end"))
