@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from .common import dropped, written
 
 
-def contracted(edges: DataFrame) -> DataFrame:
-    """Edges (u, v) with each partition's own components contracted to stars around their least node.
+BLOCK = 500_000
 
-    A partition's result has fewer rows than nodes, whatever the number of its edges.
+
+def contracted(edges: DataFrame, parts: int) -> DataFrame:
+    """Edges (u, v) of a written table, dealt over `parts` tasks, each contracted to stars around its components' least nodes.
+
+    A task's result has fewer rows than nodes, whatever the number of its edges.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,7 +40,7 @@ def contracted(edges: DataFrame) -> DataFrame:
 
         for batch in batches:
             join(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            if len(up) > 2_000_000:  # keeps the table of a long partition in bounds: a longer one gives several stars
+            if len(up) > 4 * BLOCK:  # keeps a task's table in bounds if its part is longer than planned
                 yield out(up, find)
                 up.clear()
         yield out(up, find)
@@ -47,7 +50,7 @@ def contracted(edges: DataFrame) -> DataFrame:
         cols = list(zip(*rows, strict=True)) or [(), ()]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["u", "v"])
 
-    return edges.select("u", "v").mapInArrow(run, "u long, v long")
+    return edges.select("u", "v").coalesce(parts).mapInArrow(run, "u long, v long")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -68,21 +71,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     """node, component (the least node reachable) of every node of edges (u, v).
 
-    Partitions contract their own edges first and after each round, so that few rows are shuffled
-    and few rounds are needed. Each round writes its edges to the shared folder, which cuts lineage;
-    the joins on hub nodes are of one side against one row a node, so that Spark can split a hub's
-    partition. The rounds end when the edges are stars: no node has a smaller neighbour that has one
-    itself, and each has one only. That takes a logarithm of the longest path.
+    Tasks of about BLOCK edges each contract their own edges first and after each round, so that
+    few rows are shuffled and few rounds are needed; edges of one such task need no round at all.
+    Each round writes its edges to the shared folder, which cuts lineage; the joins on hub nodes are
+    of one side against one row a node, so that Spark can split a hub's partition. The rounds end
+    when the edges are stars: each left node has one right node, and no right node stands on the
+    left. That takes a logarithm of the longest path.
     """
-    now = written(contracted(edges.filter(F.col("u") != F.col("v"))))
+    now = edges.filter(F.col("u") != F.col("v"))
     for _ in range(most_rounds):
-        # stars: every left node has one right node, and no right node stands on the left
+        raw = written(now.select("u", "v"))
+        parts = max(1, -(-raw.count() // BLOCK))
+        now = written(contracted(raw, parts))
+        dropped(raw)
         ends = now.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("to")), F.struct(F.col("v").alias("node"), F.lit(None).cast("long").alias("to")))))
         seen = ends.groupBy("node").agg(F.min("to").alias("a"), F.max("to").alias("b"), F.max(F.col("to").isNull()).alias("right"))
-        if seen.filter("a <> b OR (right AND a IS NOT NULL)").isEmpty():
-            both = now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("component")))
-            return both.distinct()
-        nxt = written(contracted(_small_star(_large_star(now)).filter(F.col("u") != F.col("v"))))
-        dropped(now)
-        now = nxt
+        if parts == 1 or seen.filter("a <> b OR (right AND a IS NOT NULL)").isEmpty():
+            return seen.select("node", F.coalesce("a", "node").alias("component"))
+        now = _small_star(_large_star(now)).filter(F.col("u") != F.col("v"))
     raise RuntimeError("components did not settle")
