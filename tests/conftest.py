@@ -11,8 +11,7 @@ os.environ["PYTHONPATH"] = os.path.dirname(os.path.dirname(os.path.abspath(__fil
 def spark(tmp_path_factory):
     from waymesh.session import local_session
 
-    session = local_session("tests", 4, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
-    session.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
+    session = local_session("tests", 4, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}"})
     yield session
     session.stop()
 
