@@ -118,12 +118,17 @@ def test_local_search_empties_a_bin():
     assert len(bins) == 2
 
 
-def test_word_ids_equal_whole_text_ids():
+def test_text_ids_equal_the_tokenizer():
     tokenizers = pytest.importorskip("tokenizers")
     vocab = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
-    whole, words = tokenizers.Tokenizer.from_file(vocab), packing.WordIds(vocab, most=50)
-    for text in ("", "It's 12 o'clock,\n\n don't!\tÉté ß 中文 <|endoftext|>x", "a  b c d", "é ́x", " ".join(str(i) for i in range(200))):
-        assert words(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    whole, mine = tokenizers.Tokenizer.from_file(vocab), packing.TextIds(vocab)
+    assert mine.fast is not None
+    rng = random.Random(1)
+    alphabet = "abcdefghijklmnopqrstuvwxyz éàüßñ中文日本🙂'.,!?0123456789-ABCÉΔΣİ\t\n\0 ́ᄀ½²"
+    texts = ["", "It's 12 o'clock,\n\n don't!\tÉté ß 中文 <|endoftext|>x", "ΟΔΟΣ", " ".join(str(i) for i in range(200)), "a" * 3000]
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
+    for text in texts:
+        assert mine(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
 def test_forest_joins_what_is_linked():

@@ -163,7 +163,7 @@ def toxicity(
                 for k in np.flatnonzero(p >= offending):
                     base = offsets[a + row[k]] - offsets[a]
                     found[a + row[k]].append({"start": int(start[k] - base), "end": int(end[k] - base), "p": float(p[k])})
-        cols = [pa.array(np.clip(score, 0, 1))]
+        cols = [pa.array(np.clip(score, 0, 1) + 0.0)]
         if spans:
             cols.append(pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))))
         return cols
