@@ -76,8 +76,8 @@ def net_new(targets: DataFrame, refs: DataFrame, metres: float) -> DataFrame:
 
     The covered parts of each piece, over all references, are merged by gaps and islands.
     """
-    pairs = blocking.box_join(refs.select("id", "xy"), targets.select("id", "xy"), metres)
-    near = pairs.withColumn("spans", g.within_spans(F.col("target_xy"), F.col("ref_xy"), metres)).select(F.col("target_id").alias("id"), F.explode("spans").alias("s")).select("id", "s.start", "s.end")
+    pairs = blocking.box_join(blocking.with_pieces(targets.select("id", "xy")), blocking.with_pieces(refs.select("id", "xy")), metres)
+    near = blocking.capsule_rows(pairs, ["ref_id", "ref_n"], metres).select(F.col("ref_id").alias("id"), (F.col("start") / F.col("ref_n")).alias("start"), (F.col("end") / F.col("ref_n")).alias("end"))
     merged = ranges.merge(near, "id", tolerance=0.0)
     total = merged.groupBy("id").agg(F.sum(F.col("end") - F.col("start")).alias("share"))
     out = targets.select("id", g.length(F.col("xy")).alias("length_m")).join(total, "id", "left")

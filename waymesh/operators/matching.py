@@ -36,28 +36,28 @@ def _forget(spark: SparkSession, path: str) -> None:
 
 def naive(ref: DataFrame, target: DataFrame, buffer_m: float = 15.0, min_overlap: float = 0.3, angle: float = 35.0) -> DataFrame:
     """Each reference segment's best target by overlap share times the cosine of the bearing difference."""
-    pairs = blocking.box_join(ref, target, buffer_m)
-    a, b = F.col("ref_xy"), F.col("target_xy")
-    n = g.length(a)
-    pairs = pairs.withColumns({"overlap": g.within(a, b, buffer_m) / F.when(n > 0, n), "bearing_diff": g.heading_delta(g.heading(a), g.heading(b))})
-    pairs = pairs.filter((F.col("overlap") >= min_overlap) & (F.col("bearing_diff") <= angle)).withColumn("score", F.col("overlap") * F.cos(F.radians("bearing_diff")))
+    pairs = blocking.box_join(blocking.with_pieces(ref.select("id", "xy")), blocking.with_pieces(target.select("id", "xy")), buffer_m)
+    pairs = pairs.withColumn("bearing_diff", g.heading_delta(F.col("ref_h"), F.col("target_h"))).filter(F.col("bearing_diff") <= angle)
+    pairs = blocking.overlaps(pairs, ["ref_id", "target_id", "ref_n", "bearing_diff"], buffer_m).withColumn("overlap", F.col("overlap_m") / F.nullif("ref_n", F.lit(0.0)))
+    pairs = pairs.filter(F.col("overlap") >= min_overlap).withColumn("score", F.col("overlap") * F.cos(F.radians("bearing_diff")))
     best = Window.partitionBy("ref_id").orderBy(F.desc(F.round("score", 9)), "target_id")
     return pairs.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("ref_id", "target_id", "overlap", "bearing_diff", "score")
 
 
 def scored(ref: DataFrame, target: DataFrame, metres: float = 25.0) -> DataFrame:
     """Candidate pairs with transparent rule confidence from overlap both ways, heading and names."""
-    pairs = blocking.box_join(ref, target, metres)
+    pairs = blocking.box_join(blocking.with_pieces(ref), blocking.with_pieces(target), metres)
     a, b = F.col("ref_xy"), F.col("target_xy")
-    d = g.line_distance(a, b)
-    pairs = pairs.withColumn("distance", d).filter(F.col("distance") <= metres)
+    keys = ["ref_id", "target_id"]
+    near = blocking.line_distances(pairs, keys).filter(F.col("distance") <= metres)
+    pairs = pairs.join(near, keys)
     ra, rb = g.project(g.first(b), a)["f"], g.project(g.last(b), a)["f"]
     ta, tb = g.project(g.first(a), b)["f"], g.project(g.last(a), b)["f"]
     pairs = pairs.withColumns(
         {
-            "heading_diff": g.heading_delta(g.heading(a), g.heading(b)),
+            "heading_diff": g.heading_delta(F.col("ref_h"), F.col("target_h")),
             "ref_from": F.least(ra, rb), "ref_to": F.greatest(ra, rb), "target_from": F.least(ta, tb), "target_to": F.greatest(ta, tb),
-            "ref_length": g.length(a), "target_length": g.length(b),
+            "ref_length": F.col("ref_n"), "target_length": F.col("target_n"),
             "same_name": (F.coalesce(F.col("ref_name"), F.lit("")) != "") & (F.col("ref_name") == F.col("target_name")),
         }
     ).fillna({"same_name": False})

@@ -75,9 +75,10 @@ def cardinality_estimate(spark, d):
 
 @query("q071_physical_overlap_filter")
 def physical_overlap_filter(spark, d):
-    p = both(spark, d, 5.0).withColumn("overlap", g.within(A, B, 5.0))
-    least = F.greatest(F.lit(1.0), F.least(F.lit(5.0), 0.5 * F.least(g.length(A), g.length(B))))
-    return p.filter(F.col("overlap") >= least).select("ref_id", "target_id", F.round("overlap", 6).alias("overlap"))
+    p = blocking.box_join(blocking.with_pieces(R(spark, d).select("id", "xy")), blocking.with_pieces(T(spark, d).select("id", "xy")), 5.0)
+    p = blocking.overlaps(p, ["ref_id", "target_id", "ref_n", "target_n"], 5.0)
+    least = F.greatest(F.lit(1.0), F.least(F.lit(5.0), 0.5 * F.least("ref_n", "target_n")))
+    return p.filter(F.col("overlap_m") >= least).select("ref_id", "target_id", F.round("overlap_m", 6).alias("overlap"))
 
 
 @query("q073_nearest_neighbour", q.with_tables(f"SELECT ref_id, arg_min(target_id, (dd, target_id)) AS target_id, round(min(dd), 6) AS distance FROM (SELECT *, {q.line_distance('a', 'b')} AS dd FROM pairs) WHERE dd <= 60 GROUP BY ref_id", q.pairs(60)))
@@ -166,8 +167,10 @@ def edge_distance_rmse(spark, d):
 
 @query("q164_overlap_lengths")
 def overlap_lengths(spark, d):
-    p = both(spark, d, 15.0)
-    return p.select("ref_id", "target_id", F.round(g.within(A, B, 5.0), 6).alias("overlap_5"), F.round(g.within(A, B, 15.0) / g.length(A), 6).alias("overlap_ratio_15"))
+    p = blocking.box_join(blocking.with_pieces(R(spark, d).select("id", "xy")), blocking.with_pieces(T(spark, d).select("id", "xy")), 15.0)
+    keys = ["ref_id", "target_id", "ref_n"]
+    wide = blocking.overlaps(p, keys, 15.0).withColumnRenamed("overlap_m", "wide")
+    return wide.join(blocking.overlaps(p, keys, 5.0), keys, "left").select("ref_id", "target_id", F.round(F.coalesce("overlap_m", F.lit(0.0)), 6).alias("overlap_5"), F.round(F.col("wide") / F.col("ref_n"), 6).alias("overlap_ratio_15"))
 
 
 @query("q166_heading_delta", q.with_tables(f"SELECT ref_id, target_id, round({q.heading_delta('a', 'b')}, 6) AS heading_delta FROM pairs", q.pairs(15)))
