@@ -86,7 +86,10 @@ class TextIds:
         return self.ids[self.fast.encode_to_numpy("\0".join(words) + "\0", disallowed_special=())].tobytes() if words else b""
 
 
-text_ids = lru_cache(2)(TextIds)  # one for all tasks of a worker
+@lru_cache(2)
+def text_ids(path: str) -> TextIds:
+    """One encoder for all tasks of a worker."""
+    return TextIds(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str, cap: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
