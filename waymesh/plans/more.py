@@ -252,7 +252,7 @@ def labels_with_features(spark, d):
 
 @query("q262_priority_overlay")
 def priority_overlay(spark, d):
-    return integration.net_new(T(spark, d), R(spark, d), 10.0).filter("net_m > 0.2 * length_m").select("id")
+    return integration.net_new(T(spark, d), R(spark, d).filter("k % 2 = 0"), 10.0).filter("net_m > 0.2 * length_m").select("id")
 
 
 @query("q303_model_contract", "SELECT 4 AS n_features, sha256('distance,heading_diff,coverage,overlap_m') AS contract")
