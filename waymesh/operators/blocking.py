@@ -112,9 +112,10 @@ def line_distances(pairs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def capsule_rows(pairs: DataFrame, keys: list[str], metres: float) -> DataFrame:
-    """keys, start, end: measures along the reference line within `metres` of a piece of the other line, unmerged.
+    """keys, start, end: measures along the reference line within `metres` of a piece of the other line, unmerged; nulls where there are none.
 
     A piece meets a piece's capsule in one interval: the hull of what it has in both end discs and in the slab between.
+    Rows without an interval stay, as a filter here would be pushed down and repeat all of these expressions.
     """
     r2, c = metres * metres, F.col
     p = piece_pairs(pairs, keys).filter("n > 0")
@@ -142,11 +143,12 @@ def capsule_rows(pairs: DataFrame, keys: list[str], metres: float) -> DataFrame:
     use = [(lo, hi, c(lo).isNotNull() & (c(lo) <= c(hi)) & (c(hi) > 0) & (c(lo) < 1)) for lo, hi in (("l1", "h1"), ("l2", "h2"), ("l3", "h3"))]
     lo = F.least(*[F.when(ok, c(x)) for x, _, ok in use])
     hi = F.greatest(*[F.when(ok, c(y)) for _, y, ok in use])
-    out = p.withColumns({"lo": F.greatest(lo, F.lit(0.0)), "hi": F.least(hi, F.lit(1.0))}).filter(lo.isNotNull())
-    return out.select(*keys, (c("m") + c("lo") * c("n")).alias("start"), (c("m") + c("hi") * c("n")).alias("end"))
+    out = p.withColumns({"lo": lo, "hi": hi}).withColumns({"from": F.when(c("lo").isNotNull(), F.greatest("lo", F.lit(0.0))), "to": F.when(c("lo").isNotNull(), F.least("hi", F.lit(1.0)))})
+    return out.select(*keys, (c("m") + c("from") * c("n")).alias("start"), (c("m") + c("to") * c("n")).alias("end"))
 
 
 def overlaps(pairs: DataFrame, keys: list[str], metres: float) -> DataFrame:
-    """keys and overlap_m: metres of the reference line within `metres` of the other; pairs without any are left out."""
-    spans = capsule_rows(pairs, keys, metres).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("start").alias("lo"), F.col("end").alias("hi")))).alias("z"))
+    """keys and overlap_m: metres of the reference line within `metres` of the other lines of a key (one or several)."""
+    span = F.when(F.col("start").isNotNull(), F.struct(F.col("start").alias("lo"), F.col("end").alias("hi")))
+    spans = capsule_rows(pairs, keys, metres).groupBy(*keys).agg(F.array_sort(F.collect_list(span)).alias("z"))
     return spans.select(*keys, g.union_length(F.col("z")).alias("overlap_m"))

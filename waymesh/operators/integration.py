@@ -74,15 +74,12 @@ def report(tests: dict[str, DataFrame]) -> DataFrame:
 def net_new(targets: DataFrame, refs: DataFrame, metres: float) -> DataFrame:
     """id, length_m, covered_m, net_m: what of each line lies outside the buffer of all nearby references.
 
-    The covered parts of each piece, over all references, are merged by gaps and islands.
+    The covered measures of a line, over all references, are merged as intervals.
     """
     pairs = blocking.box_join(blocking.with_pieces(targets.select("id", "xy")), blocking.with_pieces(refs.select("id", "xy")), metres)
-    near = blocking.capsule_rows(pairs, ["ref_id", "ref_n"], metres).select(F.col("ref_id").alias("id"), (F.col("start") / F.col("ref_n")).alias("start"), (F.col("end") / F.col("ref_n")).alias("end"))
-    merged = ranges.merge(near, "id", tolerance=0.0)
-    total = merged.groupBy("id").agg(F.sum(F.col("end") - F.col("start")).alias("share"))
-    out = targets.select("id", g.length(F.col("xy")).alias("length_m")).join(total, "id", "left")
-    covered = F.coalesce(F.col("share"), F.lit(0.0)) * F.col("length_m")
-    return out.select("id", "length_m", covered.alias("covered_m"), (F.col("length_m") - covered).alias("net_m"))
+    covered = blocking.overlaps(pairs, ["ref_id"], metres).select(F.col("ref_id").alias("id"), "overlap_m")
+    out = targets.select("id", g.length(F.col("xy")).alias("length_m")).join(covered, "id", "left").withColumn("covered_m", F.coalesce("overlap_m", F.lit(0.0)))
+    return out.select("id", "length_m", "covered_m", (F.col("length_m") - F.col("covered_m")).alias("net_m"))
 
 
 def remnants(targets: DataFrame, bridge: DataFrame, least: float = 3.0) -> DataFrame:
