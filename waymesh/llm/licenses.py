@@ -75,8 +75,9 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templ
     """id, text_hash, label, template, first_word, last_word, share: the verified spans of license text."""
     spark = docs.sparkSession
     grams = spark.createDataFrame(template_grams(templates, k), "template int, label string, t_pos int, gram string, n_grams int")
-    grams = grams.withColumn("h", F.xxhash64(F.split("gram", " ")))
-    hashes = F.transform("words", lambda w, i: F.when(i <= F.size("words") - k, F.xxhash64(F.slice("words", i + 1, k))))
+    grams = grams.withColumn("h", F.xxhash64(*[F.get(F.split("gram", " "), F.lit(j)) for j in range(k)]))
+    # the last k - 1 places hash fewer words; no whole k-gram equals them, which the comparison below ensures
+    hashes = F.transform("words", lambda w, i: F.xxhash64(w, *[F.get("words", i + j) for j in range(1, k)]))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), words_of(F.col(text_col)).alias("words"))
     rows = rows.filter(F.size("words") >= k).select("id", "text_hash", "words", F.posexplode(hashes).alias("pos", "h"))
     hits = rows.join(F.broadcast(grams), "h").filter(F.array_join(F.slice("words", F.col("pos") + 1, k), " ") == F.col("gram"))
