@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; tests get one of their own."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="waymesh-shared-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+    """The folder that all executors share, from spark.checkpoint.dir; where it is unset, as in tests, one of our own."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir(spark.sparkContext.applicationId)).rstrip("/")
+
+
+@cache
+def _own_dir(application: str) -> str:
+    return "file://" + tempfile.mkdtemp(prefix="waymesh-shared-")
 
 
 def _remove(spark: SparkSession, path: str) -> None:
