@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,16 +17,19 @@ from . import blocking
 def scratch(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the folder of spark.checkpoint.dir, reread; cuts the lineage of loops."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="waymesh-scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_dir(spark.sparkContext.applicationId)
     path = f"{root.rstrip('/')}/waymesh-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_forget, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@cache
+def _own_dir(application: str) -> str:
+    """A folder of our own where spark.checkpoint.dir is unset, as in tests."""
+    return "file://" + tempfile.mkdtemp(prefix="waymesh-scratch-")
+
+
 def _forget(spark: SparkSession, path: str) -> None:
     try:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
