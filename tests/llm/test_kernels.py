@@ -124,9 +124,11 @@ def test_text_ids_equal_the_tokenizer():
     whole, mine = tokenizers.Tokenizer.from_file(vocab), packing.TextIds(vocab)
     assert mine.fast is not None
     rng = random.Random(1)
-    alphabet = "abcdefghijklmnopqrstuvwxyz éàüßñ中文日本🙂'.,!?0123456789-ABCÉΔΣİ\t\n\0 ́ᄀ½²"
+    alphabet = "abcdefghijklmnopqrstuvwxyz éàüßñ中文日本🙂'.,!?0123456789-ABCÉΔΣİ\t\n\0\x1c\x1f\x7f\x85\xa0\u3000 ́ᄀ½²"
+    plain = "abcdefghijklmnopqrstuvwxyz '.,!?0123456789-ABC\t\n\v\x1c\x1f\x7f_"
     texts = ["", "It's 12 o'clock,\n\n don't!\tÉté ß 中文 <|endoftext|>x", "ΟΔΟΣ", " ".join(str(i) for i in range(200)), "a" * 3000]
     texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
+    texts += ["".join(rng.choice(plain) for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
     for text in texts:
         assert mine(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 

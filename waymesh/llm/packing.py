@@ -17,6 +17,7 @@ ids are told apart by nothing and are packed each; an empty table gives an empty
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
@@ -56,7 +57,11 @@ class TextIds:
             import tiktoken
 
             ranks, self.ids = self._ranks(spec["model"])
-            self.words = regex.compile(steps[0]["pattern"]["Regex"])
+            # white space as Unicode has it; Python's \\s also takes the separators 1C to 1F
+            pattern = steps[0]["pattern"]["Regex"].replace(r"\s", r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
+            self.words = regex.compile(pattern).findall
+            # the same over lower-cased ASCII, where letters and digits are short classes
+            self.ascii_words = re.compile(pattern.replace(r"[\p{L}]", "[a-z]").replace(r"[\p{N}]", "[0-9]").replace(r"\p{L}\p{N}", "a-z0-9")).findall
             self.fast = tiktoken.Encoding("word-ends", pat_str="[^\\x00]+\\x00", mergeable_ranks=ranks, special_tokens={})
 
     @staticmethod
@@ -82,7 +87,7 @@ class TextIds:
     def __call__(self, text: str) -> bytes:
         if self.fast is None or "\0" in text or "<|" in text or "Σ" in text:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = self.words.findall(unicodedata.normalize("NFC", text).lower())
+        words = self.ascii_words(text.lower()) if text.isascii() else self.words(unicodedata.normalize("NFC", text).lower())
         return self.ids[self.fast.encode_to_numpy("\0".join(words) + "\0", disallowed_special=())].tobytes() if words else b""
 
 
@@ -218,4 +223,6 @@ def pack(docs: DataFrame, tokenizer: str, cap: int = 4096, shard: int = 4000, id
         # a shard has fewer bins than pieces, far fewer than 2^32
         return table.drop_columns(["shard"]).append_column("sequence_id", pa.array((shard_id << 32) + where)).append_column("offset", pa.array(offset))
 
+    # a stated number of partitions, a few shards each, is not coalesced to one by its few bytes
+    dealt = dealt.repartition(-(-shards // 4), "shard")
     return dealt.groupBy("shard").applyInArrow(run, schema).withColumnRenamed("id", id_col)
