@@ -14,7 +14,15 @@ from . import sqltext as q
 from .registry import query
 
 R, T = s.reference, s.target
-A, B = F.col("ref_xy"), F.col("target_xy")
+
+
+def A():
+    return F.col("ref_xy")
+
+
+def B():
+    return F.col("target_xy")
+
 W = lambda body, *more: q.with_tables(body, q.BRIDGE, *more)
 
 
@@ -98,10 +106,10 @@ def prf_targets(spark, d):
 
 @query("q167_collinear_gap", q.with_tables(f"SELECT ref_id, target_id, CASE WHEN hd <= 15 THEN round(greatest(0.0, least(a1, b1) - greatest(a0, b0)) / least(a1 - a0, b1 - b0), 6) ELSE 1.0 END AS ratio FROM (SELECT *, 0.0 AS a0, n AS a1, least(p, r) AS b0, greatest(p, r) AS b1 FROM (SELECT ref_id, target_id, {q.heading_delta('a', 'b')} AS hd, n, ((b[1].x - a[1].x) * ux + (b[1].y - a[1].y) * uy) / n AS p, ((b[-1].x - a[1].x) * ux + (b[-1].y - a[1].y) * uy) / n AS r FROM (SELECT *, a[-1].x - a[1].x AS ux, a[-1].y - a[1].y AS uy, {q.dist('a[1].x', 'a[1].y', 'a[-1].x', 'a[-1].y')} AS n FROM pairs))) WHERE b1 > b0", q.pairs(10)))
 def collinear_gap(spark, d):
-    o, e = g.first(A), g.last(A)
+    o, e = g.first(A()), g.last(A())
     n = g.distance(o, e)
     on = lambda p: ((p["x"] - o["x"]) * (e["x"] - o["x"]) + (p["y"] - o["y"]) * (e["y"] - o["y"])) / n
-    p = both(spark, d, 10.0).withColumns({"n": n, "p": on(g.first(B)), "r": on(g.last(B)), "hd": g.heading_delta(g.heading(A), g.heading(B))})
+    p = both(spark, d, 10.0).withColumns({"n": n, "p": on(g.first(B())), "r": on(g.last(B())), "hd": g.heading_delta(g.heading(A()), g.heading(B()))})
     p = p.withColumns({"lo": F.least("p", "r"), "hi": F.greatest("p", "r")}).filter("hi > lo")
     ratio = F.greatest(F.lit(0.0), F.least("n", "hi") - F.greatest(F.lit(0.0), F.col("lo"))) / F.least(F.col("n"), F.col("hi") - F.col("lo"))
     return p.select("ref_id", "target_id", F.when(F.col("hd") <= 15, F.round(ratio, 6)).otherwise(1.0).alias("ratio"))
@@ -109,9 +117,9 @@ def collinear_gap(spark, d):
 
 @query("q175_parallel_alignment")
 def parallel_alignment(spark, d):
-    pts = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: g.interpolate(B, g.length(B) * i / 15))
+    pts = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: g.interpolate(B(), g.length(B()) * i / 15))
     steps = F.zip_with(F.slice(pts, 1, 15), F.slice(pts, 2, 15), g.bearing)
-    cos = F.transform(steps, lambda h: F.cos(F.radians(g.heading_delta(h, g.heading(A)))))
+    cos = F.transform(steps, lambda h: F.cos(F.radians(g.heading_delta(h, g.heading(A())))))
     p = both(spark, d, 10.0).withColumn("c", cos)
     return p.select("ref_id", "target_id", F.round(g.mean(F.col("c")), 6).alias("alignment"), F.round(F.size(F.filter("c", lambda v: v >= 0.7)) / F.size("c"), 6).alias("fraction"))
 
@@ -236,7 +244,7 @@ def leakage_safe_folds(spark, d):
 
 @query("q295_plausibility_filter", q.with_tables(f"SELECT ref_id, target_id FROM pairs WHERE list_max({q.vertex_distances('a', 'b')}) <= 60", q.pairs(10)))
 def plausibility_filter(spark, d):
-    return both(spark, d, 10.0).filter(g.hausdorff(A, B) <= 60).select("ref_id", "target_id")
+    return both(spark, d, 10.0).filter(g.hausdorff(A(), B()) <= 60).select("ref_id", "target_id")
 
 
 @query("q302_class_predictor")
@@ -277,5 +285,5 @@ def frozen_partitions(spark, d):
 def coincident_cover(spark, d):
     t = T(spark, d).select("id", "xy")
     p = blocking.box_join(t, t, 5.0).filter("ref_id <> target_id")
-    near = p.select(F.col("ref_id").alias("id"), F.explode(g.within_spans(A, B, 5.0)).alias("z")).select("id", "z.start", "z.end")
+    near = p.select(F.col("ref_id").alias("id"), F.explode(g.within_spans(A(), B(), 5.0)).alias("z")).select("id", "z.start", "z.end")
     return ranges.covered(ranges.merge(near, "id", tolerance=0.0), "id").withColumn("covered", F.round("covered", 6))

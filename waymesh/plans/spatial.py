@@ -17,7 +17,15 @@ def both(spark, d, pad):
     return blocking.box_join(R(spark, d), T(spark, d), pad)
 
 
-A, B = F.col("ref_xy"), F.col("target_xy")
+
+
+def A():
+    return F.col("ref_xy")
+
+
+def B():
+    return F.col("target_xy")
+
 
 
 @query("q001_segment_scan", q.with_tables(f"SELECT id, class, len(xy) AS n_vertices, round({q.length('xy')}, 6) AS length_m FROM ref"))
@@ -102,7 +110,7 @@ def endpoint_radius_join(spark, d):
 
 @query("q075_segment_radius_join", q.with_tables(f"SELECT ref_id, target_id FROM pairs WHERE {q.line_distance('a', 'b')} <= 10", q.pairs(10)))
 def segment_radius_join(spark, d):
-    return both(spark, d, 10.0).filter(g.line_distance(A, B) <= 10).select("ref_id", "target_id")
+    return both(spark, d, 10.0).filter(g.line_distance(A(), B()) <= 10).select("ref_id", "target_id")
 
 
 @query("q072_radius_query", q.with_tables(f"SELECT id FROM ref WHERE {q.point_line('500', '500', 'xy')} <= 120"))
@@ -118,7 +126,7 @@ def connector_projection(spark, d):
 
 @query("q077_anchor_road")
 def anchor_road(spark, d):
-    p = both(spark, d, 30.0).withColumns({"dist": g.line_distance(A, B), "align": F.cos(F.radians(g.heading_delta(g.heading(A), g.heading(B))))}).filter("dist <= 30 AND align >= 0.7")
+    p = both(spark, d, 30.0).withColumns({"dist": g.line_distance(A(), B()), "align": F.cos(F.radians(g.heading_delta(g.heading(A()), g.heading(B()))))}).filter("dist <= 30 AND align >= 0.7")
     return p.groupBy("target_id").agg(F.max(F.struct((F.round(F.col("align") - F.col("dist") / 30, 9)).alias("v"), F.col("ref_id").alias("ref_id"))).alias("m")).select("target_id", "m.ref_id", F.col("m.v").alias("score"))
 
 
@@ -126,11 +134,11 @@ def anchor_road(spark, d):
 def parallel_siblings(spark, d):
     r = R(spark, d).select("id", "name", "class", "xy")
     p = blocking.box_join(r, r, 30.0).filter("ref_id <> target_id")
-    offset = g.percentile(F.transform(g.samples(A, 10.0, 3), lambda z: g.distance_to_line(z, B)), 0.25)
-    p = p.withColumns({"offset": offset, "align": F.cos(F.radians(g.heading_delta(g.heading(A), g.heading(B)))), "fraction": g.within(A, B, 30.0) / g.length(A)})
+    offset = g.percentile(F.transform(g.samples(A(), 10.0, 3), lambda z: g.distance_to_line(z, B())), 0.25)
+    p = p.withColumns({"offset": offset, "align": F.cos(F.radians(g.heading_delta(g.heading(A()), g.heading(B())))), "fraction": g.within(A(), B(), 30.0) / g.length(A())})
     ok = F.col("offset").between(5, 30) & (F.col("align") >= 0.7) & (F.col("fraction") >= 0.3)
     named = (F.coalesce("ref_name", F.lit("")) != "") & (F.coalesce("target_name", F.lit("")) != "")
-    evidence = F.when(named, F.col("ref_name") == F.col("target_name")).otherwise((F.col("ref_class") == F.col("target_class")) & (F.col("fraction") >= 0.6) & (F.least(g.length(A), g.length(B)) / F.greatest(g.length(A), g.length(B)) >= 0.5))
+    evidence = F.when(named, F.col("ref_name") == F.col("target_name")).otherwise((F.col("ref_class") == F.col("target_class")) & (F.col("fraction") >= 0.6) & (F.least(g.length(A()), g.length(B())) / F.greatest(g.length(A()), g.length(B())) >= 0.5))
     best = p.filter(ok & evidence).groupBy("ref_id").agg(F.max(F.struct(F.round("fraction", 6).alias("fraction"), "target_id")).alias("m"))
     return best.select("ref_id", F.col("m.target_id").alias("sibling_id"), F.col("m.fraction").alias("fraction"))
 
@@ -142,8 +150,8 @@ TIER = "CASE {} WHEN 'motorway' THEN 0 WHEN 'primary' THEN 1 WHEN 'secondary' TH
 def crossing_neighbours(spark, d):
     tier = F.expr(TIER.format("class"))
     r = R(spark, d).select("id", tier.alias("tier"), "xy")
-    p = blocking.box_join(r, r, 15.0).filter("ref_id <> target_id AND ref_tier <> target_tier").filter(g.line_distance(A, B) <= 15)
-    p = p.withColumn("angle", g.heading_delta(g.heading(A), g.heading(B)))
+    p = blocking.box_join(r, r, 15.0).filter("ref_id <> target_id AND ref_tier <> target_tier").filter(g.line_distance(A(), B()) <= 15)
+    p = p.withColumn("angle", g.heading_delta(g.heading(A()), g.heading(B())))
     return p.groupBy("ref_id").agg(F.round(F.min("angle"), 6).alias("min_angle"), F.avg(F.when(F.col("angle") > 60, 1.0).otherwise(0.0)).alias("steep_share"))
 
 
@@ -155,13 +163,13 @@ H = f"list_sort({q.vertex_distances('a', 'b')})"
     q.with_tables(f"SELECT ref_id, target_id, round(list_max(v), 6) AS hausdorff, round(list_sum(v) / len(v), 6) AS mean_hausdorff, round(quantile, 6) AS p95_hausdorff FROM (SELECT *, v[floor((len(v) - 1) * 0.95)::INT + 1] + ((len(v) - 1) * 0.95 - floor((len(v) - 1) * 0.95)) * (v[ceil((len(v) - 1) * 0.95)::INT + 1] - v[floor((len(v) - 1) * 0.95)::INT + 1]) AS quantile FROM (SELECT ref_id, target_id, {H} AS v FROM pairs))", q.pairs(10)),
 )
 def hausdorff_family(spark, d):
-    v = g.vertex_distances(A, B)
-    return both(spark, d, 10.0).select("ref_id", "target_id", F.round(g.hausdorff(A, B), 6).alias("hausdorff"), F.round(g.mean(v), 6).alias("mean_hausdorff"), F.round(g.percentile(v, 0.95), 6).alias("p95_hausdorff"))
+    v = g.vertex_distances(A(), B())
+    return both(spark, d, 10.0).select("ref_id", "target_id", F.round(g.hausdorff(A(), B()), 6).alias("hausdorff"), F.round(g.mean(v), 6).alias("mean_hausdorff"), F.round(g.percentile(v, 0.95), 6).alias("p95_hausdorff"))
 
 
 @query("q162_edge_distance_rmse")
 def edge_distance_rmse(spark, d):
-    v = F.concat(F.transform(g.samples(A, 5.0, 3), lambda p: g.distance_to_line(p, B)), F.transform(g.samples(B, 5.0, 3), lambda p: g.distance_to_line(p, A)))
+    v = F.concat(F.transform(g.samples(A(), 5.0, 3), lambda p: g.distance_to_line(p, B())), F.transform(g.samples(B(), 5.0, 3), lambda p: g.distance_to_line(p, A())))
     return both(spark, d, 10.0).select("ref_id", "target_id", F.round(F.sqrt(g.mean(F.transform(v, lambda x: x * x))), 6).alias("rmse"))
 
 
@@ -175,7 +183,7 @@ def overlap_lengths(spark, d):
 
 @query("q166_heading_delta", q.with_tables(f"SELECT ref_id, target_id, round({q.heading_delta('a', 'b')}, 6) AS heading_delta FROM pairs", q.pairs(15)))
 def heading_delta(spark, d):
-    return both(spark, d, 15.0).select("ref_id", "target_id", F.round(g.heading_delta(g.heading(A), g.heading(B)), 6).alias("heading_delta"))
+    return both(spark, d, 15.0).select("ref_id", "target_id", F.round(g.heading_delta(g.heading(A()), g.heading(B())), 6).alias("heading_delta"))
 
 
 @query("q170_sinuosity", q.with_tables(f"SELECT id, round({q.length('xy')} / {q.dist('xy[1].x', 'xy[1].y', 'xy[-1].x', 'xy[-1].y')}, 6) AS sinuosity FROM ref"))
@@ -200,12 +208,12 @@ def angle_histogram(spark, d):
         t = F.concat(F.array(F.lit(0.0)), g.turns(xy))
         return F.transform(F.sequence(F.lit(0), F.lit(7)), lambda b: F.size(F.filter(t, lambda v: F.least(F.floor(v / 22.5), F.lit(7)) == b)) / F.size(t))
 
-    return both(spark, d, 10.0).select("ref_id", "target_id", F.round(g.total(F.zip_with(bins(A), bins(B), lambda x, y: F.least(x, y))), 6).alias("similarity"))
+    return both(spark, d, 10.0).select("ref_id", "target_id", F.round(g.total(F.zip_with(bins(A()), bins(B()), lambda x, y: F.least(x, y))), 6).alias("similarity"))
 
 
 @query("q174_lateral_offset")
 def lateral_offset(spark, d):
-    v = F.transform(g.samples(B, 5.0, 3), lambda p: g.distance_to_line(p, A))
+    v = F.transform(g.samples(B(), 5.0, 3), lambda p: g.distance_to_line(p, A()))
     return both(spark, d, 10.0).select("ref_id", "target_id", F.round(g.mean(v), 6).alias("mean"), F.round(g.percentile(v, 0.75) - g.percentile(v, 0.25), 6).alias("iqr"), F.round(g.percentile(v, 0.95), 6).alias("p95"))
 
 
@@ -220,8 +228,8 @@ def heading_consistency(spark, d):
 
 @query("q289_signed_offset")
 def signed_offset(spark, d):
-    a, b = g.first(A), g.last(A)
-    side = F.transform(B, lambda p: F.signum((b["x"] - a["x"]) * (p["y"] - a["y"]) - (b["y"] - a["y"]) * (p["x"] - a["x"])) * g.distance_to_line(p, A))
+    a, b = g.first(A()), g.last(A())
+    side = F.transform(B(), lambda p: F.signum((b["x"] - a["x"]) * (p["y"] - a["y"]) - (b["y"] - a["y"]) * (p["x"] - a["x"])) * g.distance_to_line(p, A()))
     return both(spark, d, 10.0).select("ref_id", "target_id", F.round(g.mean(side), 6).alias("offset_m"))
 
 
@@ -250,7 +258,7 @@ def coverage_and_alignment(spark, d):
 @query("q176_offset_per_half_width", q.with_tables(f"SELECT ref_id, target_id, round(list_sum(v) / len(v) / ((CASE ref_class WHEN 'motorway' THEN 12 WHEN 'primary' THEN 8 ELSE 4 END + CASE target_class WHEN 'motorway' THEN 12 WHEN 'primary' THEN 8 ELSE 4 END) / 2.0 + 1e-6), 6) AS relative FROM (SELECT *, {q.vertex_distances('b', 'a')} AS v FROM pairs)", q.pairs(10)))
 def offset_per_half_width(spark, d):
     w = lambda c: F.when(F.col(c) == "motorway", 12).when(F.col(c) == "primary", 8).otherwise(4)
-    v = g.vertex_distances(B, A)
+    v = g.vertex_distances(B(), A())
     return both(spark, d, 10.0).select("ref_id", "target_id", F.round(g.mean(v) / ((w("ref_class") + w("target_class")) / F.lit(2.0) + 1e-6), 6).alias("relative"))
 
 
