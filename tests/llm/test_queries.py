@@ -181,6 +181,14 @@ def test_pages(spark):
     assert html.extract(frame.limit(0)).collect() == []
 
 
+def test_wrappers_without_text_keep_what_is_under_them(spark):
+    page = "<html><body class='site'><div class='wrap'><div class='lead'><div class='logo'>same logo</div></div><div class='post'><h2>Same line</h2><div class='words'><p>text number {}</p></div></div></div></body></html>"
+    frame = spark.createDataFrame([(i, f"http://a.example/{i}", page.format(i)) for i in range(6)], "page_id long, url string, html string")
+    assert {r.page_id: r.main_text for r in html.extract(frame).collect()} == {i: f"text number {i}" for i in range(6)}
+    low = {r.importance < 0.2 for r in html.style_tree(frame.select(F.lit(1).cast("long").alias("host_key"), "html")).filter("own < 0.2").collect()}
+    assert low == {True, False}
+
+
 def test_budget_is_met_and_shortages_move_to_siblings(spark):
     leaves = spark.createDataFrame([("d0", "en", "a", 100), ("d0", "en", "b", 10_000), ("d0", "de", "c", 5000), ("d1", "en", "d", 50), ("d2", "en", "e", 9000)], "domain string, language string, source string, tokens long")
     got = {r.source: r for r in mixing.leaf_budgets(leaves, 0.5, 2).collect()}
