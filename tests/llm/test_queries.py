@@ -115,6 +115,28 @@ def test_dense_group_is_cut_into_blocks(spark):
     assert got == brute_components(texts, 3, 85)
 
 
+def pairs_around_a_passage(n):
+    """n pairs of similarity 0.85 and more that share a passage with all others (similarity below 0.7)."""
+    rng = np.random.default_rng(8)
+    texts = []
+    for i in range(n):
+        w = [f"p{j}" for j in range(100)] + [f"t{i}x{j}" for j in range(20)]
+        texts.append((2 * i, " ".join(w)))
+        for j in rng.choice(np.arange(2, 98, 4), 3, replace=False):
+            w[j] = f"y{i}x{j}"
+        texts.append((2 * i + 1, " ".join(w)))
+    return texts
+
+
+def test_pairs_within_an_oversized_node(spark):
+    texts = pairs_around_a_passage(150)
+    want = brute_components(texts, 3, 85)
+    assert want == {i: i - i % 2 for i, _ in texts}
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in dedup.near_duplicates(frame, k=3, percent=85, limit=16, group=30, depth=1).collect()}
+    assert got == want
+
+
 def test_near_duplicates_equal_brute_force(spark, sf_dir):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: r.component_id for r in queries.op3_near_duplicates(spark, sf_dir).collect()}

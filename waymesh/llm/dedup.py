@@ -11,7 +11,11 @@ leave the tree; larger ones are branched again. Two documents of similarity s sh
 probability s, so a pair is lost by one tree with probability 1 - s, and by all of them with
 (1 - s)^trees at depth 1 (0.85: 10^-9 for 12 trees). What is still too large at `depth` is a dense
 group: it is cut into blocks of about `limit` documents, and the same few leaders are added to each
-of its blocks, so that blocks of a group of copies meet in them.
+of its blocks, so that blocks of a group of copies meet in them. Pairs of such a node that this does
+not connect are compared all, in tasks of two blocks of at most about `group` documents each; for a
+group of copies none are left, for unrelated documents the work grows with the square of the node.
+The chance above is for pairs that meet at depth 1; one that has to go down to depth d is lost with
+(1 - s^d)^trees (0.85, depth 4, 12 trees: 2 in 10,000).
 
 A comparison walks from document to linked document, always against those not yet reached, and
 returns a spanning forest: a node never emits more edges than documents, and copies cost one
@@ -94,8 +98,8 @@ def described(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     return src.mapInArrow(run, "id long, n_shingles long, sig_a long, sig_b long, sketch array<int>")
 
 
-def nodes(rows: DataFrame, trees: int, limit: int, depth: int, leaders: int = 8) -> DataFrame:
-    """node, id: the comparison nodes of rows (id, scope, sketch), each of about `limit` documents at most.
+def nodes(rows: DataFrame, trees: int, limit: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
+    """(node, id: the nodes of rows (id, scope, sketch) with `limit` documents at most; path, id, n: the larger ones left at `depth`).
 
     Branching takes place within a scope. Nodes of one document are left out.
     """
@@ -129,18 +133,39 @@ def nodes(rows: DataFrame, trees: int, limit: int, depth: int, leaders: int = 8)
         ends = written(ends.select("id", "tree", F.coalesce("fit", "last").alias("x")).select("id", "tree", "x.path", "x.n"))
         done.append(ends.filter((F.col("n") > 1) & (F.col("n") <= limit)).select(F.col("path").alias("node"), "id"))
         large = ends.filter(F.col("n") > limit)
-    if not large.isEmpty():
-        heads = [F.min(F.struct(F.xxhash64(F.lit(j), "id", "tree").alias("h"), "id")).getField("id") for j in range(leaders)]
-        n_blocks = F.ceil(F.col("n") / limit).cast("int")
-        led = large.groupBy("path").agg(F.first("n").alias("n"), F.array_distinct(F.array(*heads)).alias("heads"))
-        led = led.select("path", "n", F.explode("heads").alias("id")).select("path", "id", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"))
-        own = large.select("path", "id", F.pmod(F.xxhash64("id", "path"), n_blocks).cast("int").alias("block"))
-        every = own.unionByName(led).distinct()
-        done.append(every.select(F.xxhash64("path", "block").alias("node"), "id"))
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)
-    return out
+    return out, None if large.isEmpty() else large.select("path", "id", "n")
+
+
+def led_blocks(large: DataFrame, limit: int, leaders: int = 8) -> DataFrame:
+    """node, id: large nodes (path, id, n) in blocks of about `limit` documents that share a few leaders."""
+    heads = [F.min(F.struct(F.xxhash64(F.lit(j), "id", "path").alias("h"), "id")).getField("id") for j in range(leaders)]
+    n_blocks = F.ceil(F.col("n") / limit).cast("int")
+    led = large.groupBy("path").agg(F.first("n").alias("n"), F.array_distinct(F.array(*heads)).alias("heads"))
+    led = led.select("path", "n", F.explode("heads").alias("id")).select("path", "id", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"))
+    own = large.select("path", "id", F.pmod(F.xxhash64("id", "path"), n_blocks).cast("int").alias("block"))
+    return own.unionByName(led).distinct().select(F.xxhash64("path", "block").alias("node"), "id")
+
+
+def crossings(large: DataFrame, joined: DataFrame, block: int) -> DataFrame:
+    """node, id, part, first, second: tasks that hold every pair of documents of a node (path, id) that `joined` (node, component) does not connect.
+
+    A task compares `first` documents with `second` ones. Of a node, the documents of its largest part
+    are only `second`: with each other they are connected. The others, and they with the largest part,
+    meet block by block.
+    """
+    placed = written(large.select("path", "id").join(joined.select(F.col("node").alias("id"), "component"), "id", "left").select("path", "id", F.coalesce("component", "id").alias("part")))
+    parts = placed.groupBy("path", "part").agg(F.count("*").alias("n")).groupBy("path").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("n"))
+    parts = parts.select("path", F.col("top.part").alias("top"), F.ceil((F.col("n") - F.col("top.n")) / block).cast("int").alias("rest"), F.ceil(F.col("top.n") / block).cast("int").alias("most"))
+    dealt = placed.join(parts.filter("rest > 0"), "path").withColumn("is_top", F.col("part") == F.col("top"))
+    at = F.pmod(F.xxhash64("id", "path"), F.when(F.col("is_top"), F.col("most")).otherwise(F.col("rest"))).cast("int")
+    dealt = dealt.withColumn("at", at + F.when(F.col("is_top"), F.col("rest")).otherwise(0))
+    every = F.sequence(F.lit(0), F.when(F.col("is_top"), F.col("rest")).otherwise(F.col("rest") + F.col("most")) - 1)
+    dealt = dealt.select("path", "id", "part", "at", F.explode(every).alias("other"))
+    i, j = F.least("at", "other"), F.greatest("at", "other")
+    return dealt.select(F.xxhash64("path", i, j).alias("node"), "id", "part", (F.col("at") == i).alias("first"), (F.col("at") == j).alias("second"))
 
 
 def forest(n: int, linked) -> Iterator[tuple[int, int]]:
@@ -157,9 +182,29 @@ def forest(n: int, linked) -> Iterator[tuple[int, int]]:
             rest = rest[~hit]
 
 
-def compared(rows: DataFrame, payload: str, make_linked) -> DataFrame:
-    """u, v: spanning edges of every node of rows (node, id, payload), node by node in sorted partitions."""
-    sorted_rows = rows.select("node", "id", payload).repartition("node").sortWithinPartitions("node", "id")
+def bridged(part: np.ndarray, first: np.ndarray, second: np.ndarray, linked) -> Iterator[tuple[int, int]]:
+    """Edges (place, place) that connect all parts of which a `first` document is linked with a `second` one."""
+    part = np.unique(part, return_inverse=True)[1]
+    places = np.arange(len(part))
+    for i in np.flatnonzero(first):
+        # of two documents that are both, one has been compared with the other
+        rest = np.flatnonzero(second & (part != part[i]) & ~(first & second[i] & (places < i)))
+        if not len(rest):
+            continue
+        hit = rest[linked(i, rest)]
+        met, at = np.unique(part[hit], return_index=True)
+        for k in hit[at]:
+            yield int(i), int(k)
+        part[np.isin(part, met)] = part[i]
+
+
+def compared(rows: DataFrame, payload: str, make_linked, crossing: bool = False) -> DataFrame:
+    """u, v: spanning edges of every node of rows (node, id, payload), node by node in sorted partitions.
+
+    crossing: rows have part, first and second as made by crossings(), and only edges between parts are looked for.
+    """
+    more = ["part", "first", "second"] if crossing else []
+    sorted_rows = rows.select("node", "id", payload, *more).repartition("node").sortWithinPartitions("node", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
@@ -168,10 +213,11 @@ def compared(rows: DataFrame, payload: str, make_linked) -> DataFrame:
             node, ids = t["node"].to_numpy(), t["id"].to_numpy()
             cuts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1], [True]]))
             u, v = [], []
-            column = t[payload].combine_chunks()
+            column, sides = t[payload].combine_chunks(), [t[c].to_numpy() for c in more]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 if b - a > 1:
-                    for i, root in forest(b - a, make_linked(column.slice(a, b - a))):
+                    linked = make_linked(column.slice(a, b - a))
+                    for i, root in bridged(*(x[a:b] for x in sides), linked) if crossing else forest(b - a, linked):
                         u.append(ids[a + i])
                         v.append(ids[a + root])
             return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
@@ -213,8 +259,13 @@ def near_duplicates(
         s = np.asarray(column.flatten()).reshape(len(column), SKETCH)
         return lambda i, rest: (s[rest] == s[i]).sum(1) >= least
 
-    first = nodes(scoped, trees, limit, depth)
-    coarse = components(compared(first.join(lead, "id"), "sketch", by_sketch))
+    met, large = nodes(scoped, trees, limit, depth)
+    if large is None:
+        coarse = components(compared(met.join(lead, "id"), "sketch", by_sketch))
+    else:  # what shared leaders connect needs no further comparison; all other pairs of a large node get one
+        edges = written(compared(met.unionByName(led_blocks(large, limit)).join(lead, "id"), "sketch", by_sketch))
+        across = crossings(large, components(edges), group)
+        coarse = components(edges.unionByName(compared(across.join(lead, "id"), "sketch", by_sketch, True)))
 
     def by_set(column: pa.Array):
         data, offsets = text_bytes(column)
@@ -240,9 +291,16 @@ def near_duplicates(
     cut = not big.isEmpty()
     if cut:
         scoped = big.join(lead, "id").select("id", F.col("component").alias("scope"), "sketch")
-        small = small.unionByName(nodes(scoped, max(2, trees // 3), group, depth))
+        deep, large = nodes(scoped, max(2, trees // 3), group, depth)
+        small = small.unionByName(deep)
+        if large is not None:
+            small = small.unionByName(led_blocks(large, group))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     confirmed = compared(texts.join(small, "id"), "text", by_set)
+    if cut and large is not None:
+        confirmed = written(confirmed)
+        across = crossings(large, components(confirmed.unionByName(through)), group)
+        confirmed = confirmed.unionByName(compared(texts.join(across, "id"), "text", by_set, True))
     if cut or not twice.isEmpty():
         linked = components(confirmed.unionByName(through))
     else:  # every group was compared as a whole, so that its edges are stars around least ids already
