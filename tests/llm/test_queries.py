@@ -137,6 +137,13 @@ def test_pairs_within_an_oversized_node(spark):
     assert got == want
 
 
+def test_pairs_within_a_branched_coarse_group(spark):
+    texts = pairs_around_a_passage(250)
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in dedup.near_duplicates(frame, k=3, percent=85, limit=16, group=60, depth=4).collect()}
+    assert got == brute_components(texts, 3, 85)
+
+
 def test_near_duplicates_equal_brute_force(spark, sf_dir):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: r.component_id for r in queries.op3_near_duplicates(spark, sf_dir).collect()}

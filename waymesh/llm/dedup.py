@@ -20,9 +20,11 @@ The chance above is for pairs that meet at depth 1; one that has to go down to d
 A comparison walks from document to linked document, always against those not yet reached, and
 returns a spanning forest: a node never emits more edges than documents, and copies cost one
 comparison each. It runs twice: first on sketches with a lower bar, which gives coarse groups that
-hold all similar pairs (but for a chance below 10^-5 for a pair), then on the full sets within each
-coarse group, which confirms links exactly. A document's text is sent once for the second step (once
-a tree if its coarse group exceeds the limit and is branched again).
+hold all similar pairs (but for the trees' chance above and one below 10^-5 for a pair), then on the
+full sets within each coarse group, which confirms links exactly. A document's text is sent once for
+the second step. A coarse group over its limit is cut into blocks with leaders first, then branched by
+all trees again; nodes that are connected by then are left out, in others all pairs not yet connected
+are compared, for which a text is sent twice a tree at most while its node fits.
 
 Defined cases: a text with fewer than k words is one shingle of all its words; null texts and texts
 without words have an empty set and are linked with nothing; rows of equal id count as one document
@@ -290,16 +292,16 @@ def near_duplicates(
     big = placed.filter(F.col("n") > group)
     cut = not big.isEmpty()
     if cut:
-        scoped = big.join(lead, "id").select("id", F.col("component").alias("scope"), "sketch")
-        deep, large = nodes(scoped, max(2, trees // 3), group, depth)
-        small = small.unionByName(deep)
-        if large is not None:
-            small = small.unionByName(led_blocks(large, group))
+        small = small.unionByName(led_blocks(big.select(F.col("component").alias("path"), "id", "n"), group))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     confirmed = compared(texts.join(small, "id"), "text", by_set)
-    if cut and large is not None:
+    if cut:
         confirmed = written(confirmed)
-        across = crossings(large, components(confirmed.unionByName(through)), group)
+        scoped = big.join(lead, "id").select("id", F.col("component").alias("scope"), "sketch")
+        deep, large = nodes(scoped, trees, group, depth)
+        met = deep.select(F.col("node").alias("path"), "id")
+        met = met if large is None else met.unionByName(large.select("path", "id"))
+        across = crossings(met, components(confirmed.unionByName(through)), group)
         confirmed = confirmed.unionByName(compared(texts.join(across, "id"), "text", by_set, True))
     if cut or not twice.isEmpty():
         linked = components(confirmed.unionByName(through))
