@@ -77,6 +77,14 @@ def test_components_and_repeated_rows(docs):
     assert sorted(r.doc_id or 0 for r in dedup.deduplicated(docs, k=3, percent=85).collect()) == [0, 1, 2, 3, 4, 6, 7]
 
 
+def test_language_model_keeps_rare_languages(spark, docs, monkeypatch):
+    n = 8_000_100  # a large language with as many 4-grams as fitted before, and one with a hundred
+    counts = spark.range(n).select(F.when(F.col("id") < 100, "zz").otherwise("aa").alias("lang"), (F.col("id") * 65_599 + 1).alias("key"), F.when(F.col("id") < 100, 1).otherwise(2).cast("long").alias("n"))
+    monkeypatch.setattr(language, "count_grams", lambda *_: counts)
+    m = language.train(docs)
+    assert m.langs == ["aa", "zz"] and [len(o[-1][0]) for o in m.orders] == [n - 100, 100]
+
+
 def brute_components(texts, k, percent):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = {}

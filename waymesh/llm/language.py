@@ -10,9 +10,9 @@ Calibrated rejection: from all training counts, each language has its mean and v
 -log2 p. A text is rejected if its best cross-entropy exceeds mean + z * sqrt(variance / n) + slack,
 or if no letter is in it.
 
-Bound: the model holds at most `max_ngrams` 4-grams over all languages. If the corpus has more, the
-least frequent ones go (the lowest count that fits), as usual for such models; every training text
-is counted either way.
+Every count is kept, whatever the size of the corpus: no n-gram of a rare language makes way for one of
+a frequent language, and discounts, lower orders and calibration see all of them. The model is built
+on the driver and broadcast, so its memory grows with the distinct 4-grams of the corpus.
 
 Defined cases: null text, or one without a letter: `und`, score 0, rejected; rows with null language
 or id train nothing; with no training row at all everything is `und`; ties go to the
@@ -174,31 +174,23 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return src.mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_ngrams: int = 8_000_000) -> Model | None:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model | None:
     """The model of all rows that are not held out and have a language; None if there are none."""
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     counts = written(count_grams(rows, text_col, lang_col))
-    small = counts.groupBy("n").count().orderBy("n")
-    total = counts.count()
-    least = 1
-    if total > max_ngrams:
-        left = total
-        for r in small.filter("n < 1000000").toLocalIterator():
-            if left <= max_ngrams:
-                break
-            left, least = left - r["count"], r["n"] + 1
-    got = counts.filter(F.col("n") >= least).toArrow()
+    got = counts.toArrow()
     dropped(counts)
     if not got.num_rows:
         return None
-    return Model(np.asarray(got["lang"].to_pylist(), object), got["key"].to_numpy().view(np.uint64), got["n"].to_numpy())
+    lang = got["lang"].combine_chunks().dictionary_encode()
+    return Model(np.asarray(lang.dictionary.to_pylist(), object)[lang.indices.to_numpy()], got["key"].to_numpy().view(np.uint64), got["n"].to_numpy())
 
 
 def language_id(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", z: float = 6.0, slack: float = 1.0, max_ngrams: int = 8_000_000
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", z: float = 6.0, slack: float = 1.0
 ) -> DataFrame:
     """docs with lang_pred, lang_score, cross_entropy and lang_rejected added; only the text is looked at for a prediction."""
-    model = train(docs, text_col, lang_col, id_col, max_ngrams)
+    model = train(docs, text_col, lang_col, id_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def kernel(texts: pa.Array) -> list[pa.Array]:
