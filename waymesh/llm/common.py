@@ -158,3 +158,14 @@ def appended(docs: DataFrame, fields: list[tuple[str, str]], kernel, *cols: str)
             yield pa.RecordBatch.from_arrays([*batch.columns, *kernel(*(batch.column(i) for i in at))], names=labels)
 
     return inner.mapInArrow(run, schema).toDF(*names, *[n for n, _ in fields])
+
+
+def rows_through(docs: DataFrame, operator) -> DataFrame:
+    """The rows that operator(inner, at) returns, with the columns of docs and no others.
+
+    inner is docs with columns named by position and at maps a column's name to that; so names with
+    dots or equal to an added column's don't matter. operator keeps inner's columns.
+    """
+    inner = docs.toDF(*[f"in{i}" for i in range(len(docs.columns))])
+    out = operator(inner, dict(zip(docs.columns[::-1], inner.columns[::-1], strict=True)))
+    return out.select(*inner.columns).toDF(*docs.columns)

@@ -14,8 +14,9 @@ that would exceed the budget. It is found without sorting a leaf in one task: to
 
 Defined cases: null text has one token (as every text has at least one), so that it can be drawn;
 null domain, language or source is a node named `und`; siblings without positive weight get
-nothing; documents with equal ids have equal order and are drawn together; an empty table gives an
-empty result; extra columns pass through.
+nothing; siblings of equal capacity per weight are taken by name; documents with equal ids have equal
+order and are drawn together; an empty table gives an empty result; extra columns pass through, but for
+those with the name of an added column (domain, language, mix_tokens, epoch), which it replaces.
 """
 
 from __future__ import annotations
@@ -71,36 +72,44 @@ def share_out(nodes: DataFrame, parents: list[str], budget: str, weight: str, ca
 
 
 def leaf_budgets(leaves: DataFrame, fraction: float, max_epochs: int, domain_weights: dict = DOMAIN_WEIGHTS, language_weights: dict = LANGUAGE_WEIGHTS, source_weights: dict | None = None) -> DataFrame:
-    """leaves (LEVELS, tokens) with capacity and budget, in tokens."""
+    """leaves (LEVELS, tokens; one row a leaf) with capacity and budget, in tokens.
+
+    Each level reads the leaves once and joins its parents' shares, so the plan grows by the level and
+    not by its square. Only the total, one number, comes to the driver.
+    """
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0
     out = leaves.withColumn("capacity", F.col("tokens").cast("double") * max_epochs)
+    shares: DataFrame | None = None
     above: list[str] = []
-    budget = F.floor(F.sum("tokens").over(Window.partitionBy(F.lit(0))) * fraction).cast("double")
-    out = out.withColumn("budget", budget)
     for level, weights in zip(LEVELS, (domain_weights, language_weights, source_weights or {}), strict=True):
         path = [*above, level]
-        nodes = out.groupBy(*path).agg(F.sum("capacity").alias("node_capacity"), F.first("budget").alias("parent_budget"))
+        nodes = out.groupBy(*path).agg(F.sum("capacity").alias("node_capacity")) if level != LEVELS[-1] else out.withColumnRenamed("capacity", "node_capacity")
         nodes = nodes.withColumn("weight", weight_of(F.col(level), weights, 1))
-        root = nodes.withColumn("__root", F.lit(0))
-        shared = share_out(root, above or ["__root"], "parent_budget", "weight", "node_capacity", level)
-        out = out.drop("budget").join(shared.select(*path, F.col("share").alias("budget")), path)
+        if shares is None:
+            nodes = nodes.withColumns({"__root": F.lit(0), "parent_budget": F.floor(F.lit(total) * F.lit(fraction)).cast("double")})
+        else:
+            nodes = nodes.join(shares, above)
+        shared = share_out(nodes, above or ["__root"], "parent_budget", "weight", "node_capacity", level)
+        shares = shared.select(*path, F.col("share").alias("parent_budget"))
         above = path
-    return out.withColumn("budget", F.floor(F.col("budget") + 1e-6).cast("long"))
+    final = shared.select(*LEVELS, "tokens", F.col("node_capacity").alias("capacity"), F.floor(F.col("share") + 1e-6).cast("long").alias("budget"))
+    return final
 
 
 def mix(
-    docs: DataFrame, fraction: float = 0.5, max_epochs: int = 2, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 100_000, **weights
+    docs: DataFrame, fraction: float = 0.5, max_epochs: int = 2, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", most_broadcast: int = 100_000, **weights
 ) -> DataFrame:
     """The drawn documents, with domain, language, mix_tokens and epoch added; a document drawn in two epochs stands twice."""
     leaf = {
-        "__wm_domain": F.coalesce(domain_of(F.col("source")), F.lit("und")),
-        "__wm_language": F.coalesce(F.col("lang"), F.lit("und")),
-        "__wm_source": F.coalesce(F.col("source"), F.lit("und")),
+        "__wm_domain": F.coalesce(domain_of(F.col(source_col)), F.lit("und")),
+        "__wm_language": F.coalesce(F.col(lang_col), F.lit("und")),
+        "__wm_source": F.coalesce(F.col(source_col), F.lit("und")),
         "__wm_tokens": tokens_of(F.col(text_col)),
     }
     keys = ["__wm_domain", "__wm_language", "__wm_source"]
     tagged = docs.withColumns(leaf)
     meta = written(tagged.select(F.col(id_col).alias("id"), F.col(keys[0]).alias("domain"), F.col(keys[1]).alias("language"), F.col(keys[2]).alias("source"), F.col("__wm_tokens").alias("n")))
-    leaves = meta.groupBy(*LEVELS).agg(F.sum("n").alias("tokens"))
+    leaves = written(meta.groupBy(*LEVELS).agg(F.sum("n").alias("tokens")))
     budgets = leaf_budgets(leaves, fraction, max_epochs, **weights)
     budgets = budgets.withColumn("whole", F.floor(F.col("budget") / F.col("tokens")).cast("int"))
     budgets = written(budgets.withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens")))
