@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,28 +55,32 @@ def bags(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
                 yield pa.RecordBatch.from_pydict({"grade": batch.column(1).slice(i, 1), "u": pa.array([u.astype(np.int32)], pa.list_(pa.int32())), "f": pa.array([(n / (PRIOR + len(text))).astype(np.float32)], pa.list_(pa.float32()))})
 
     got = sample.select("text", F.col("grade").cast("int")).mapInArrow(run, "grade int, u array<int>, f array<float>").toArrow()
-    sizes = np.array([len(x) for x in got["u"]], int)
-    flat = lambda name, kind: np.concatenate([np.asarray(x.values, kind) for x in got[name]]) if sizes.sum() else np.zeros(0, kind)
-    return flat("u", np.int64), flat("f", np.float64), np.concatenate([[0], np.cumsum(sizes)]), got["grade"].to_numpy()
+    grade = got["grade"].to_numpy()
+    first = np.concatenate([[0], np.cumsum(pc.list_value_length(got["u"]).to_numpy())])
+    u, f = (np.asarray(pc.list_flatten(got[c].combine_chunks() if got.num_rows else got[c])) for c in ("u", "f"))
+    return u, f, first, grade
 
 
-def fit(u: np.ndarray, f: np.ndarray, first: np.ndarray, grade: np.ndarray, grades: int, rounds: int = 80, rate: float = 0.08, l2: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, ordered thresholds) by full-batch Adam on the cumulative-link likelihood, rows weighted alike."""
-    row = np.repeat(np.arange(len(grade)), np.diff(first))
-    f = f * SCALE
+def fit(u: np.ndarray, f: np.ndarray, first: np.ndarray, grade: np.ndarray, grades: int, rounds: int = 80, rate: float = 0.08, l2: float = 1e-6, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, ordered thresholds) by full-batch Adam on the cumulative-link likelihood, rows weighted alike; `step` rows at a time are held unpacked."""
     w, t = np.zeros(REPEAT + 1), np.concatenate([[-1.0], np.zeros(grades - 2)])
-    share = np.full(len(grade), 1 / len(grade))
+    share = 1 / len(grade)
     a, b = Adam(len(w), rate), Adam(len(t), rate)
     for _ in range(rounds):
-        s = np.bincount(row, f * w[u], len(grade))
         th = np.cumsum(np.concatenate([t[:1], np.exp(t[1:])]))
-        tail = np.column_stack([np.ones(len(s)), sigmoid(s[:, None] - th), np.zeros(len(s))])
-        i = np.arange(len(s))
-        hi, lo = tail[i, grade], tail[i, grade + 1]
-        p = np.maximum(hi - lo, 1e-12)
-        d_hi, d_lo = share * hi * (1 - hi) / p, share * lo * (1 - lo) / p
-        g = np.bincount(u, f * (d_lo - d_hi)[row], len(w)) + l2 * w
-        g_th = np.bincount(grade, d_hi, grades)[1:] - np.bincount(grade, d_lo, grades)[:-1]
+        g, g_th = l2 * w, np.zeros(grades - 1)
+        for lo in range(0, len(grade), step):
+            at, y = first[lo : lo + step + 1], grade[lo : lo + step]
+            places, values = u[at[0] : at[-1]], f[at[0] : at[-1]] * SCALE
+            # every row has a bucket at least, that of repeated words
+            s = np.add.reduceat(values * w[places], at[:-1] - at[0])
+            tail = np.column_stack([np.ones(len(s)), sigmoid(s[:, None] - th), np.zeros(len(s))])
+            i = np.arange(len(s))
+            hi, lo_tail = tail[i, y], tail[i, y + 1]
+            p = np.maximum(hi - lo_tail, 1e-12)
+            d_hi, d_lo = share * hi * (1 - hi) / p, share * lo_tail * (1 - lo_tail) / p
+            g += np.bincount(places, values * np.repeat(d_lo - d_hi, np.diff(at)), len(w))
+            g_th += np.bincount(y, d_hi, grades)[1:] - np.bincount(y, d_lo, grades)[:-1]
         g_t = np.cumsum(g_th[::-1])[::-1]
         g_t[1:] *= np.exp(t[1:])
         a.step(w, g)
@@ -90,6 +95,7 @@ def quality(
     known = labels.filter(F.col("grade").between(0, grades - 1)).groupBy(id_col).agg(F.min("grade").cast("string").alias("grade"))
     u, f, first, grade = bags(labelled_sample(docs, known, {str(g): per_grade for g in range(grades)}, text_col, id_col))
     model = fit(u, f, first, grade, grades) if len(grade) else None
+    del u, f, first, grade
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def kernel(texts: pa.Array) -> list[pa.Array]:
@@ -117,6 +123,6 @@ def quality(
 
 
 def graded(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Grades of the labels table: 0 poor; 1 good but toxic; 2 good. A null mark counts as the better one."""
-    good, toxic = F.coalesce(F.col("quality"), F.lit(1)) > 0, F.coalesce(F.col("toxic"), F.lit(0)) > 0
-    return labels.select(id_col, F.when(~good, 0).when(toxic, 1).otherwise(2).alias("grade"))
+    """Grades of the labels table: 0 poor; 1 good but toxic; 2 good. A row without a quality mark has no grade (null); without a toxicity mark a good row is not toxic."""
+    good, toxic = F.col("quality") > 0, F.coalesce(F.col("toxic"), F.lit(0)) > 0
+    return labels.select(id_col, F.when(~good, 0).when(good & toxic, 1).when(good, 2).alias("grade"))
