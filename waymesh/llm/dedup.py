@@ -9,22 +9,24 @@ has a coordinate, and the documents that stand together at a node and have the s
 there go on to the same child. Nodes with at most `limit` documents are compared exhaustively and
 leave the tree; larger ones are branched again. Two documents of similarity s share a child with
 probability s, so a pair is lost by one tree with probability 1 - s, and by all of them with
-(1 - s)^trees at depth 1 (0.85: 10^-9 for 12 trees). What is still too large at `depth` is a dense
-group: it is cut into blocks of about `limit` documents, and the same few leaders are added to each
-of its blocks, so that blocks of a group of copies meet in them. Pairs of such a node that this does
-not connect are compared all, in tasks of two blocks of at most about `group` documents each; for a
-group of copies none are left, for unrelated documents the work grows with the square of the node.
-The chance above is for pairs that meet at depth 1; one that has to go down to depth d is lost with
-(1 - s^d)^trees (0.85, depth 4, 12 trees: 2 in 10,000).
+(1 - s)^trees at depth 1 (0.85: 10^-9 for 12 trees).
+
+Before a large node is branched, its documents are compared in blocks of about `limit` that share a
+few leaders. That joins a group of copies to one part at once, and a node of one part ends there:
+only nodes that hold documents of several parts go down. Where branching ends, because a node is
+small enough or `depth` is reached, all pairs of documents of different parts are compared, in tasks
+of two blocks of at most about `group` documents each; no pair is left out for a node's size. For
+unrelated documents that stay together down to `depth` that grows with the square of the node. A pair
+that has to go down to depth d is lost with (1 - s^d)^trees (0.85, depth 4, 12 trees: 2 in 10,000).
 
 A comparison walks from document to linked document, always against those not yet reached, and
 returns a spanning forest: a node never emits more edges than documents, and copies cost one
 comparison each. It runs twice: first on sketches with a lower bar, which gives coarse groups that
 hold all similar pairs (but for the trees' chance above and one below 10^-5 for a pair), then on the
 full sets within each coarse group, which confirms links exactly. A document's text is sent once for
-the second step. A coarse group over its limit is cut into blocks with leaders first, then branched by
-all trees again; nodes that are connected by then are left out, in others all pairs not yet connected
-are compared, for which a text is sent twice a tree at most while its node fits.
+the second step. A coarse group over its limit is cut into blocks with leaders first; if these leave
+several parts, it is branched by all trees again, for which a text is sent twice a tree at most while
+its node fits.
 
 Defined cases: a text with fewer than k words is one shingle of all its words; null texts and texts
 without words have an empty set and are linked with nothing; rows of equal id count as one document
@@ -100,45 +102,48 @@ def described(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     return src.mapInArrow(run, "id long, n_shingles long, sig_a long, sig_b long, sketch array<int>")
 
 
-def nodes(rows: DataFrame, trees: int, limit: int, depth: int) -> tuple[DataFrame, DataFrame | None]:
-    """(node, id: the nodes of rows (id, scope, sketch) with `limit` documents at most; path, id, n: the larger ones left at `depth`).
+def child(level: int, path: str) -> Column:
+    """The child of a node that a document (tree, sketch) goes on to: by its minwise token at the tree's coordinate of that level."""
+    coordinate = F.pmod(F.xxhash64(F.lit(level * 7919 + 13), "tree"), F.lit(SKETCH)).cast("int") + 1
+    return F.xxhash64(path, "tree", F.element_at("sketch", coordinate))
 
-    Branching takes place within a scope. Nodes of one document are left out.
-    """
 
-    def child(level: int, path) -> Column:
-        coordinate = F.pmod(F.xxhash64(F.lit(level * 7919 + 13), "tree"), F.lit(SKETCH)).cast("int") + 1
-        return F.xxhash64(path, "tree", F.element_at("sketch", coordinate))
+def planted(rows: DataFrame, trees: int, *more: str) -> DataFrame:
+    """id, tree, path, `more`: the nodes of the first level of every tree, within the scopes of rows (id, scope, sketch, `more`)."""
+    live = rows.select("id", "sketch", *more, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.xxhash64("scope").alias("path"))
+    return live.select("id", "tree", child(0, "path").alias("path"), *more)
 
-    def counted(live: DataFrame) -> DataFrame:
-        return live.join(live.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "path")
 
-    # the first level, over all documents: only ids and paths are shuffled
-    live = rows.select("id", "sketch", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.xxhash64("scope").alias("path"))
-    met = written(counted(live.select("id", "tree", child(0, "path").alias("path"))))
-    done = [met.filter(F.col("n") <= limit).select(F.col("path").alias("node"), "id")]
-    large = met.filter(F.col("n") > limit)
-    if depth > 1 and not large.isEmpty():
-        # all further levels of what is left at once; a document stays at its first node that is small enough
-        deep = large.select("id", "tree", "path").join(rows.select("id", "sketch"), "id")
-        paths = ["path"]
-        for level in range(1, depth):
-            deep = deep.withColumn(f"path{level}", child(level, paths[-1]))
-            paths.append(f"path{level}")
-        levels = F.array(*[F.struct(F.lit(i).alias("level"), F.col(c).alias("path")) for i, c in enumerate(paths[1:], 1)])
-        flat = deep.select("id", "tree", F.col("path").alias("root"), F.explode(levels).alias("x")).select("id", "tree", "root", "x.level", "x.path")
-        counts = flat.groupBy("path").agg(F.count("*").alias("n"))
-        fits = F.col("n") <= limit
-        ends = flat.join(counts, "path").groupBy("id", "tree", "root").agg(
-            F.min(F.when(fits, F.struct("level", "path", "n"))).alias("fit"), F.max(F.struct("level", "path", "n")).alias("last")
-        )
-        ends = written(ends.select("id", "tree", F.coalesce("fit", "last").alias("x")).select("id", "tree", "x.path", "x.n"))
-        done.append(ends.filter((F.col("n") > 1) & (F.col("n") <= limit)).select(F.col("path").alias("node"), "id"))
-        large = ends.filter(F.col("n") > limit)
-    out = done[0]
-    for x in done[1:]:
+def counted(live: DataFrame) -> DataFrame:
+    """live with n, the documents of a row's node; nodes of one document, or of one part where live has parts, are left out."""
+    parted = "part" in live.columns
+    sizes = live.groupBy("path").agg(F.count("*").alias("n"), *([F.min("part").alias("lo"), F.max("part").alias("hi")] if parted else []))
+    sizes = sizes.filter("lo < hi").select("path", "n") if parted else sizes.filter("n > 1")
+    return live.join(sizes, "path")
+
+
+def branched(live: DataFrame, sketch: DataFrame, limit: int, depth: int, level: int = 1) -> DataFrame:
+    """path, id, part: the nodes in which branching of live (id, tree, path, part, n) ends.
+
+    Nodes of at most `limit` documents end where they stand; the documents of the others go on to
+    children, until `depth`. A node whose documents are all of one part ends with nothing to do.
+    """
+    ends, left = [live.filter(F.col("n") <= limit)], live.filter(F.col("n") > limit)
+    while level < depth and not left.isEmpty():
+        down = left.select("id", "tree", "path", "part").join(sketch.select("id", "sketch"), "id").select("id", "tree", child(level, "path").alias("path"), "part")
+        live = written(counted(down))
+        ends.append(live.filter(F.col("n") <= limit))
+        left = live.filter(F.col("n") > limit)
+        level += 1
+    out = left
+    for x in ends:
         out = out.unionByName(x)
-    return out, None if large.isEmpty() else large.select("path", "id", "n")
+    return out.select("path", "id", "part")
+
+
+def parted(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """rows (id, ...) with part: the component of their id in joined (node, component), or the id itself."""
+    return rows.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
 
 
 def led_blocks(large: DataFrame, limit: int, leaders: int = 8) -> DataFrame:
@@ -151,14 +156,14 @@ def led_blocks(large: DataFrame, limit: int, leaders: int = 8) -> DataFrame:
     return own.unionByName(led).distinct().select(F.xxhash64("path", "block").alias("node"), "id")
 
 
-def crossings(large: DataFrame, joined: DataFrame, block: int) -> DataFrame:
-    """node, id, part, first, second: tasks that hold every pair of documents of a node (path, id) that `joined` (node, component) does not connect.
+def crossings(placed: DataFrame, block: int) -> DataFrame:
+    """node, id, part, first, second: tasks that hold every pair of documents of a node (path, id, part) that are of different parts.
 
     A task compares `first` documents with `second` ones. Of a node, the documents of its largest part
     are only `second`: with each other they are connected. The others, and they with the largest part,
     meet block by block.
     """
-    placed = written(large.select("path", "id").join(joined.select(F.col("node").alias("id"), "component"), "id", "left").select("path", "id", F.coalesce("component", "id").alias("part")))
+    placed = written(placed)
     parts = placed.groupBy("path", "part").agg(F.count("*").alias("n")).groupBy("path").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("n"))
     parts = parts.select("path", F.col("top.part").alias("top"), F.ceil((F.col("n") - F.col("top.n")) / block).cast("int").alias("rest"), F.ceil(F.col("top.n") / block).cast("int").alias("most"))
     dealt = placed.join(parts.filter("rest > 0"), "path").withColumn("is_top", F.col("part") == F.col("top"))
@@ -261,12 +266,15 @@ def near_duplicates(
         s = np.asarray(column.flatten()).reshape(len(column), SKETCH)
         return lambda i, rest: (s[rest] == s[i]).sum(1) >= least
 
-    met, large = nodes(scoped, trees, limit, depth)
-    if large is None:
-        coarse = components(compared(met.join(lead, "id"), "sketch", by_sketch))
-    else:  # what shared leaders connect needs no further comparison; all other pairs of a large node get one
-        edges = written(compared(met.unionByName(led_blocks(large, limit)).join(lead, "id"), "sketch", by_sketch))
-        across = crossings(large, components(edges), group)
+    met = written(counted(planted(scoped, trees)))
+    near = met.filter(F.col("n") <= limit).select(F.col("path").alias("node"), "id")
+    large = met.filter(F.col("n") > limit)
+    if large.isEmpty():
+        coarse = components(compared(near.join(lead, "id"), "sketch", by_sketch))
+    else:  # what shared leaders connect needs no further comparison; nodes with several parts are branched
+        edges = written(compared(near.unionByName(led_blocks(large.select("path", "id", "n"), limit)).join(lead, "id"), "sketch", by_sketch))
+        live = written(counted(parted(large.select("id", "tree", "path"), components(edges))))
+        across = crossings(branched(live, lead, limit, depth), group)
         coarse = components(edges.unionByName(compared(across.join(lead, "id"), "sketch", by_sketch, True)))
 
     def by_set(column: pa.Array):
@@ -297,11 +305,10 @@ def near_duplicates(
     confirmed = compared(texts.join(small, "id"), "text", by_set)
     if cut:
         confirmed = written(confirmed)
-        scoped = big.join(lead, "id").select("id", F.col("component").alias("scope"), "sketch")
-        deep, large = nodes(scoped, trees, group, depth)
-        met = deep.select(F.col("node").alias("path"), "id")
-        met = met if large is None else met.unionByName(large.select("path", "id"))
-        across = crossings(met, components(confirmed.unionByName(through)), group)
+        rows = parted(big.select("id", F.col("component").alias("scope")), components(confirmed.unionByName(through)))
+        several = rows.groupBy("scope").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("scope")
+        live = written(counted(planted(rows.join(several, "scope", "left_semi").join(lead, "id"), trees, "part")))
+        across = crossings(branched(live, lead, group, depth), group)
         confirmed = confirmed.unionByName(compared(texts.join(across, "id"), "text", by_set, True))
     if cut or not twice.isEmpty():
         linked = components(confirmed.unionByName(through))
