@@ -4,8 +4,10 @@ Texts become token ids (one id of the end mark after each); only documents longe
 are cut, into whole sequences and a rest. Pieces are dealt over shards of about `shard` pieces by a
 hash; a shard packs its pieces best-fit in decreasing order and then improves the packing: pieces
 are moved, exchanged one for one, or two for one between underfull bins whenever that raises the sum
-of squared fills, so that full bins fill up and the emptiest ones run out. Each shard leaves about
-one bin underfull, whatever the size of the table.
+of squared fills, so that full bins fill up and the emptiest ones run out, until no step is left or the
+bins are as few as the lengths allow. Each shard gives the pieces of its emptiest bin, if that is not
+full, to the next round, which packs those of all shards in the same way; the rounds shrink by the
+pieces of a shard over those of a bin, and end with one shard.
 
 Only lengths travel to a shard, never texts or ids.
 
@@ -20,7 +22,6 @@ import json
 import re
 import unicodedata
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -141,60 +142,72 @@ def best_fit(lengths: np.ndarray, cap: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], lengths: np.ndarray, cap: int, sweeps: int = 8, most: int = 256) -> list[list[int]]:
-    """Moves, 1-1 and 2-1 exchanges from the emptiest bin to others, each raising the squared fill, until bins empty.
+def improve(bins: list[list[int]], lengths: np.ndarray, cap: int) -> list[list[int]]:
+    """Moves, 1-1 and 2-1 exchanges from emptier bins to fuller ones, each the one that raises the sum of squared fills most.
 
-    A sweep takes each of the `most` emptiest bins once as the giving one, against all other
-    underfull bins of those; every accepted step fills the receiving bin more, so that the sum of
-    squares grows and the search ends.
+    Sweeps take each underfull bin once as the giving one, the emptiest first, against all fuller
+    underfull bins, and go on until a whole sweep finds no step: a local optimum. They end before it
+    only when the bins are as few as the total length allows. Every step raises the sum of squares, so
+    the search ends.
     """
-    size = [int(x) for x in lengths]
-    fill = [sum(size[i] for i in b) for b in bins]
-    for _ in range(sweeps):
-        under = sorted((b for b in range(len(bins)) if 0 < fill[b] < cap), key=lambda b: (fill[b], b))[:most]
+    bins = [list(b) for b in bins]
+    size = np.asarray(lengths, np.int64)
+    fill = np.array([int(size[b].sum()) for b in bins], np.int64)
+    fewest = -(-int(size.sum()) // cap)
+    live = int((fill > 0).sum())
+    changed = True
+    while changed and live > fewest:
         changed = False
-        for giver in under:
-            items = sorted((size[i], i) for i in bins[giver])
-            for taker in sorted((b for b in under if b != giver and fill[b] >= fill[giver]), key=lambda b: -fill[b]):
-                gap = cap - fill[taker]
-                if not items or not gap or fill[taker] < fill[giver]:
-                    continue
-                # a move: the largest piece that fits
-                k = bisect_left(items, (gap + 1,)) - 1
-                step = ([k], None, items[k][0]) if k >= 0 else ([], None, 0)
-                # exchanges: one or two of the giver's pieces for one of the taker's, the larger gain first
-                for y in bins[taker]:
-                    if step[2] == gap:
-                        break
-                    k = bisect_left(items, (size[y] + gap + 1,)) - 1
-                    if k >= 0 and items[k][0] - size[y] > step[2]:
-                        step = ([k], y, items[k][0] - size[y])
-                    lo, hi = 0, len(items) - 1
-                    while lo < hi:
-                        both = items[lo][0] + items[hi][0] - size[y]
-                        if both > gap:
-                            hi -= 1
-                        else:
-                            if both > step[2]:
-                                step = ([lo, hi], y, both)
-                            lo += 1
-                given, back, gain = step
-                if gain <= 0:
-                    continue
-                for k in sorted(given, reverse=True):
-                    bins[taker].append(items.pop(k)[1])
+        for giver in np.argsort(fill, kind="stable").tolist():
+            while 0 < fill[giver] < cap and live > fewest:
+                step = _best_step(giver, bins, size, fill, cap)
+                if step is None:
+                    break
+                taker, given, back = step
+                gain = int(size[list(given)].sum()) - (int(size[back]) if back is not None else 0)
+                for i in given:
+                    bins[giver].remove(i)
+                bins[taker].extend(given)
                 if back is not None:
                     bins[taker].remove(back)
-                    insort(items, (size[back], back))
+                    bins[giver].append(back)
                 fill[taker] += gain
                 fill[giver] -= gain
                 changed = True
-            bins[giver] = [i for _, i in items]
-        if not changed:
-            break
+                live -= not bins[giver]
     return [b for b in bins if b]
 
 
+def _best_step(giver: int, bins: list[list[int]], size: np.ndarray, fill: np.ndarray, cap: int) -> tuple[int, tuple[int, ...], int | None] | None:
+    """(taking bin, pieces given, piece taken back) of the step that raises the sum of squared fills most; None if no step raises it."""
+    takers = np.flatnonzero((fill >= fill[giver]) & (fill < cap))
+    takers = takers[takers != giver]
+    if not len(takers):
+        return None
+    counts = np.array([len(bins[t]) for t in takers])
+    # what may come back: nothing (a move), or a piece of the taking bin
+    back = np.concatenate([np.full(len(takers), -1), np.concatenate([bins[t] for t in takers]).astype(np.int64)])
+    taker = np.concatenate([takers, np.repeat(takers, counts)])
+    returned = np.where(back >= 0, size[back], 0)
+    room = cap - fill[taker] + returned
+    mine = np.array(bins[giver])
+    mine = mine[np.argsort(size[mine], kind="stable")]
+    best: tuple[int, int, tuple[int, ...]] | None = None
+    left, right = np.triu_indices(len(mine), 1)
+    pairs = size[mine[left]] + size[mine[right]]
+    order = np.argsort(pairs, kind="stable")
+    for sums, given in ((size[mine], lambda k: (int(mine[k]),)), (pairs[order], lambda k: (int(mine[left[order[k]]]), int(mine[right[order[k]]])))):
+        if not len(sums):
+            continue
+        at = np.searchsorted(sums, room, "right") - 1
+        gain = np.where(at >= 0, sums[np.maximum(at, 0)] - returned, 0)
+        raised = np.where(gain > 0, gain * (fill[taker] - fill[giver] + gain), 0)
+        k = int(raised.argmax())
+        if raised[k] > 0 and (best is None or raised[k] > best[0]):
+            best = (int(raised[k]), k, given(int(at[k])))
+    return None if best is None else (int(taker[best[1]]), best[2], int(back[best[1]]) if back[best[1]] >= 0 else None)
+
+
 def pack_shard(lengths: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray, int]:
     """(bin, offset) of each piece, and the number of bins."""
     whole = np.flatnonzero(lengths >= cap)
@@ -212,17 +225,34 @@ def pack_shard(lengths: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray, i
 
 def pack(docs: DataFrame, tokenizer: str, cap: int = 4096, shard: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    cut = written(pieces(docs, tokenizer, cap, id_col, text_col))
-    shards = max(1, -(-cut.count() // shard))
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(shards)).cast("int"))
-    schema = f"id {dealt.schema['id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-
-    def run(table: pa.Table) -> pa.Table:
-        n, shard_id = table["length"].to_numpy(), table["shard"][0].as_py()
-        where, offset, _ = pack_shard(n, cap)
-        # a shard has fewer bins than pieces, far fewer than 2^32
-        return table.drop_columns(["shard"]).append_column("sequence_id", pa.array((shard_id << 32) + where)).append_column("offset", pa.array(offset))
-
-    # a stated number of partitions, a few shards each, is not coalesced to one by its few bytes
-    dealt = dealt.repartition(-(-shards // 4), "shard")
-    return dealt.groupBy("shard").applyInArrow(run, schema).withColumnRenamed("id", id_col)
+    left = written(pieces(docs, tokenizer, cap, id_col, text_col))
+    kind = left.schema["id"].dataType.simpleString()
+    columns = ["id", "piece", "start", "length", "ids_crc32"]
+    schema = f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, open boolean"
+    out, level, shards = None, 0, 0
+
+    def packer(level: int, many: bool):
+        def run(table: pa.Table) -> pa.Table:
+            n, shard_id = table["length"].to_numpy(), table["shard"][0].as_py()
+            where, offset, bins = pack_shard(n, cap)
+            fill = np.bincount(where, n, bins)
+            emptiest = where == fill.argmin() if many and fill.min() < cap else np.zeros(len(n), bool)
+            cols = [(level << 58) + (shard_id << 20) + where, offset, emptiest]
+            return pa.Table.from_arrays([*(table[c] for c in columns), *map(pa.array, cols)], names=[*columns, "sequence_id", "offset", "open"])
+
+        return run
+
+    while True:
+        before, shards = shards, max(1, -(-left.count() // shard))
+        # rows are dealt by their place in the written table, so that repeated rows spread like others;
+        # a stated number of partitions, a few shards each, is not coalesced to one by its few bytes
+        dealt = left.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards))).repartition(-(-shards // 4), "shard")
+        packed = dealt.groupBy("shard").applyInArrow(packer(level, shards > 1), schema)
+        if shards == 1 or shards == before:  # one shard, or bins of so many pieces that merging shards gains nothing
+            out = packed if out is None else out.unionByName(packed)
+            return out.drop("open").withColumnRenamed("id", id_col)
+        packed = written(packed)
+        done = packed.filter("NOT open")
+        out = done if out is None else out.unionByName(done)
+        left = written(packed.filter("open").select(*columns))
+        level += 1
