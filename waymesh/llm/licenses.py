@@ -1,7 +1,7 @@
 """License scans by diagonal voting, in DataFrame operations only.
 
 Every rolling k-gram of a text's words is hashed and joined to the k-grams of the license templates
-(a fixed table of a few hundred rows, so it is broadcast). A hit votes for the diagonal
+(a fixed table of some hundred rows, so it is broadcast). A hit votes for the diagonal
 text position - template position. Diagonals of one template that lie within `slack` of each other
 are merged (words may be missing or added), and a merged span is verified: the hit's words are the
 template's, not only their hashes, and the distinct template positions hit must reach `least` of
@@ -38,14 +38,34 @@ TEMPLATES = [
     ("gpl", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("mit", "In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the Software"),
+    ("apache", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
+    ("gpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
+    ("gpl", "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."),
+    ("lgpl", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("agpl", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
 ]
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
 def words_of(text: Column) -> Column:
-    """The words of a text, lower-cased."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(WORD), F.lit(0))
+    """The words of a text, with A-Z lower-cased and no other letter."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    # lower() has a fast way for ASCII, where it is the same
+    lowered = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
 def template_grams(templates: list[tuple[str, str]] = TEMPLATES, k: int = K) -> list[tuple[int, str, int, str, int]]:
@@ -130,7 +150,7 @@ def oracle(k: int = K, slack: int = 3, least: float = 0.5) -> str:
     places = " || ".join(f"list_filter(range(len(words)), lambda i: coalesce({hit(p)}, false))" for p, _ in PHRASES)
     labels = ", ".join(f"CASE WHEN len(list_filter(range(len(words)), lambda i: coalesce({hit(p)}, false))) > 0 THEN '{label}' END" for p, label in PHRASES)
     return f"""
-WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words, row_number() OVER () AS r FROM documents),
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words, row_number() OVER () AS r FROM documents),
 g(template, label, t_pos, gram, n_grams) AS (VALUES {grams}),
 p AS (SELECT r, words, unnest(range(len(words) - {k - 1})) AS pos FROM d WHERE len(words) >= {k}),
 h AS (SELECT r, template, label, n_grams, pos - t_pos AS diagonal, t_pos FROM p JOIN g ON {" || ' ' || ".join(f"words[pos + {1 + j}]" for j in range(k))} = gram),
