@@ -207,6 +207,22 @@ def test_nearest_equal_brute_force(spark):
     assert ann.nearest(frame.limit(0), frame.limit(0)).collect() == []
 
 
+def test_repeated_ids_take_one_place(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((47, 16))
+    x[1:9] = x[0] + rng.standard_normal((8, 16)) * 0.01
+    ids = [0] + [1] * 8 + list(range(100, 138))
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>, score int")
+    got = ann.nearest(frame, frame.filter("vec_id = 0")).orderBy("rank").collect()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    best = {}
+    for i, s in zip(ids[1:], u[1:] @ u[0], strict=True):
+        best[i] = max(best.get(i, -9), s)
+    want = sorted(best, key=lambda i: (-best[i], i))[:5]
+    assert [r.vec_id for r in got] == want and [r.rank for r in got] == [1, 2, 3, 4, 5]
+    assert [r.score for r in got] == pytest.approx([best[i] for i in want], abs=1e-12)
+
+
 def test_pages(spark):
     page = "<html><body><div class='lead'>same every time</div><div class='body'>{}</div></body></html>"
     rows = [(i, f"http://a.example/{i}", page.format(f"text number {i}")) for i in range(8)] + [(90, None, None), (91, "http://b.example/", "<p>x"), (None, "http://b.example/", "")]
@@ -226,6 +242,46 @@ def test_wrappers_without_text_keep_what_is_under_them(spark):
     assert low == {True, False}
 
 
+def test_tree_without_names(spark):
+    # menus and notices without any telling name; texts of a wrapped body differ from page to page
+    page = "<html><body><div class='x1'><a href='/'>Home</a><a href='/b'>About</a></div><div class='x2'><div class='x3'><p>text {0}</p><p>more {0}</p></div></div><div class='x4'>All rights reserved</div></body></html>"
+    rows = [(i, f"http://a.example/{i}", page.format(i)) for i in range(12)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host_key", F.lit("clash"))
+    got = html.extract(frame, names=False)
+    assert {(r.main_text, r.host_key) for r in got.collect()} == {(f"text {i}\n\nmore {i}", "clash") for i in range(12)}
+    wrapped = [(i, f"http://b.example/{i}", f"<div class='wrap'><section class='s0'><p>unique text {i}</p></section></div>") for i in range(12)]
+    got = html.extract(spark.createDataFrame(wrapped, "page_id long, url string, html string")).collect()
+    assert {r.main_text for r in got} == {f"unique text {i}" for i in range(12)}
+
+
+def test_deep_pages_keep_importance_of_all_ancestors(spark):
+    deep = "".join(f"<div class='d{j}'>" for j in range(60))
+    rows = [(1, f"{deep}<i>words {i}</i>") for i in range(6)]
+    tree = html.style_tree(spark.createDataFrame(rows, "host_key long, html string")).collect()
+    assert len(tree) == 62 and sum(r.importance == 1 for r in tree) == 60
+
+
+def test_rows_through_keeps_names(spark):
+    from waymesh.llm.common import rows_through
+
+    frame = spark.createDataFrame([(1, "the cat", "x", 5), (2, None, "y", 6)], "doc_id long, text string, `odd.name` string, quality_rejected int")
+    got = rows_through(frame, lambda d, at: quality.quality(d, spark.createDataFrame([], f"{at['doc_id']} long, grade int"), id_col=at["doc_id"], text_col=at["text"]))
+    assert got.columns == frame.columns and sorted(got.collect()) == sorted(frame.collect())
+
+
+def test_shards_are_merged(spark):
+    frame = spark.createDataFrame([(i % 3, "word " * (i % 50 + 5)) for i in range(400)], "doc_id long, text string")
+    got = packing.pack(frame, queries.word_bpe(), cap=128, shard=30).collect()
+    lengths = np.array([r.length for r in got])
+    by = defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for own in by.values():
+        own.sort()
+        assert [o for o, _ in own] == np.concatenate([[0], np.cumsum([n for _, n in own])[:-1]]).tolist() and sum(n for _, n in own) <= 128
+    assert len(got) == 400 and len(by) <= -(-lengths.sum() // 128) + 4
+
+
 def test_budget_is_met_and_shortages_move_to_siblings(spark):
     leaves = spark.createDataFrame([("d0", "en", "a", 100), ("d0", "en", "b", 10_000), ("d0", "de", "c", 5000), ("d1", "en", "d", 50), ("d2", "en", "e", 9000)], "domain string, language string, source string, tokens long")
     got = {r.source: r for r in mixing.leaf_budgets(leaves, 0.5, 2).collect()}

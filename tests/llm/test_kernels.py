@@ -93,7 +93,7 @@ def test_codes_estimate_within_bounds():
     x, q = rng.standard_normal((4000, 64)), rng.standard_normal((20, 64))
     codes, c = ann.encode(x)
     turned = ann.unit(q).astype(np.float32) @ ann.rotation(64).T
-    estimate = ann.signs(codes, 64) @ turned.T / c[:, None]
+    estimate = ann.estimated(codes, c, ann.query_tables(turned))
     error = np.abs(estimate - ann.unit(x) @ ann.unit(q).T)
     bound = ann.EPS * np.sqrt((1 - c * c) / (c * c)) / np.sqrt(63)
     assert (error > bound[:, None]).mean() < 0.005
@@ -118,6 +118,31 @@ def test_local_search_empties_a_bin():
     assert len(bins) == 2
 
 
+def test_local_search_beats_best_fit():
+    for lo, hi in ((300, 1700), (1000, 1500)):
+        n = np.random.default_rng(lo).integers(lo, hi, 1500)
+        start = packing.best_fit(n, 4096)
+        bins = packing.improve(start, n, 4096)
+        assert -(-n.sum() // 4096) <= len(bins) < len(start)
+        assert sorted(i for b in bins for i in b) == list(range(1500)) and max(n[b].sum() for b in bins) <= 4096
+
+
+def test_packed_bits_give_the_inner_products_of_codes():
+    rng = np.random.default_rng(6)
+    for dim in (3, 8, 21):
+        x, q = rng.standard_normal((40, dim)), rng.standard_normal((5, dim)).astype(np.float32)
+        codes, c = ann.encode(x)
+        signs = (np.unpackbits(codes, axis=1, count=dim).astype(float) * 2 - 1) / np.sqrt(dim)
+        assert np.allclose(ann.estimated(codes, c, ann.query_tables(q)), signs @ q.T / c[:, None], atol=1e-4)
+
+
+def test_names_that_hint_count_only_with_links():
+    body = "<article><div class='related'><p>related work is part of the text</p></div><header><h1>Title</h1></header></article>"
+    assert html.main_text(body) == "related work is part of the text\n\nTitle"
+    assert html.main_text("<article><p>kept</p><div class='related'><a href='/a'>one</a> <a href='/b'>two</a></div></article>") == "kept"
+    assert html.main_text("<div class='page-header'>Site</div><div class='post'>kept</div>") == "kept"
+
+
 def test_text_ids_equal_the_tokenizer():
     tokenizers = pytest.importorskip("tokenizers")
     vocab = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
