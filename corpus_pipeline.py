@@ -12,31 +12,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from waymesh.llm import dedup, language, mixing, packing, quality
-from waymesh.llm.common import table, written
+from waymesh.llm.common import rows_through, table, written
 from waymesh.llm.queries import word_bpe
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of a grade of 1 or more is high enough."""
     graded = quality.graded(table(spark, sf_dir, "labels"))
-    return quality.quality(docs, graded).filter("NOT quality_rejected").select(*docs.columns)
+    judged = lambda d, at: quality.quality(d, graded.withColumnRenamed("doc_id", at["doc_id"]), id_col=at["doc_id"], text_col=at["text"]).filter("NOT quality_rejected")
+    return rows_through(docs, judged)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text fits the model of some language."""
-    return language.language_id(docs).filter("NOT lang_rejected").select(*docs.columns)
+    judged = lambda d, at: language.language_id(d, at["text"], at["lang"], at["doc_id"]).filter("NOT lang_rejected")
+    return rows_through(docs, judged)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity 0.8)."""
-    return dedup.deduplicated(docs, k=5, percent=80)
+    return rows_through(docs, lambda d, at: dedup.deduplicated(d, at["doc_id"], text_col=at["text"], k=5, percent=80))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by the target weights; those drawn in two epochs stand twice."""
-    return mixing.mix(docs).select(*docs.columns)
+    return rows_through(docs, lambda d, at: mixing.mix(d, id_col=at["doc_id"], text_col=at["text"], lang_col=at["lang"], source_col=at["source"]))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
