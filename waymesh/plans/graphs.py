@@ -13,15 +13,19 @@ from .registry import query
 R, T = s.reference, s.target
 W = lambda body, *more: q.with_tables(body, q.BRIDGE, *more)
 
-#: An undirected graph over nations and market segments' customers: edges between keys of equal residues.
-EDGES = "e0 AS (SELECT 'n' || (c_custkey % 60) AS u, 'n' || (c_custkey * 7 % 97) AS v FROM customer WHERE c_custkey < 90), edges AS (SELECT DISTINCT least(u, v) AS u, greatest(u, v) AS v FROM e0 WHERE u <> v), b2 AS (SELECT u, v FROM edges UNION ALL SELECT v, u FROM edges)"
+#: An undirected graph over all customers, in blocks of 200 keys: a chain, a hub that every tenth key is linked with, halves, and a leaf at every seventh key.
+EDGES = """e0 AS (SELECT c_custkey AS k, c_custkey // 200 * 200 AS b FROM customer),
+links AS (SELECT k AS u, greatest(k - 1, b) AS v FROM e0 UNION ALL SELECT k, CASE WHEN k % 10 = 0 THEN b ELSE k END FROM e0 UNION ALL SELECT k, b + (k - b) // 2 FROM e0 UNION ALL SELECT k, CASE WHEN k % 7 = 3 THEN -k ELSE k END FROM e0),
+edges AS (SELECT DISTINCT least('n' || u, 'n' || v) AS u, greatest('n' || u, 'n' || v) AS v FROM links WHERE u <> v), b2 AS (SELECT u, v FROM edges UNION ALL SELECT v, u FROM edges)"""
 G = lambda body: "WITH " + EDGES + " " + body
 GR = lambda body: "WITH RECURSIVE " + EDGES + ", " + body
 
 
 def edges(spark, d):
     k = F.col("c_custkey")
-    return graph.undirected(s.table(spark, d, "customer").filter(k < 90).select(F.concat(F.lit("n"), k % 60).alias("u"), F.concat(F.lit("n"), k * 7 % 97).alias("v")))
+    block = F.floor(k / 200) * 200
+    ends = F.array(F.greatest(k - 1, block), F.when(k % 10 == 0, block).otherwise(k), block + F.floor((k - block) / 2), F.when(k % 7 == 3, -k).otherwise(k))
+    return graph.undirected(s.table(spark, d, "customer").select(F.concat(F.lit("n"), k).alias("u"), F.explode(ends).alias("to")).select("u", F.concat(F.lit("n"), "to").alias("v")))
 
 
 @query("q237_degrees", G("SELECT u AS node, count(*) AS degree FROM b2 GROUP BY u"))

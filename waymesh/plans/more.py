@@ -42,10 +42,10 @@ def tag_transform(spark, d):
     return s.table(spark, d, "part").select("p_partkey", F.when(t.contains("STEEL") | t.contains("steel"), "metal").when(F.col("p_size") > 25, "large").otherwise("plain").alias("class"), (F.col("p_size") % 3 - 1).alias("level"))
 
 
-@query("q023_connector_fractions", "SELECT way, node, round(sum(step) OVER (PARTITION BY way ORDER BY n, node) / sum(step) OVER (PARTITION BY way), 6) AS at FROM (SELECT l_orderkey AS way, l_partkey AS node, l_linenumber AS n, l_quantity AS step FROM lineitem WHERE l_orderkey % 20 = 0)")
+@query("q023_connector_fractions", "SELECT way, node, round(sum(step) OVER (PARTITION BY way ORDER BY n, node) / sum(step) OVER (PARTITION BY way), 6) AS at FROM (SELECT l_orderkey AS way, l_partkey AS node, l_linenumber AS n, l_quantity AS step FROM lineitem)")
 def connector_fractions(spark, d):
     w = Window.partitionBy("way").orderBy("n", "node")
-    x = s.table(spark, d, "lineitem").filter("l_orderkey % 20 = 0").select(F.col("l_orderkey").alias("way"), F.col("l_partkey").alias("node"), F.col("l_linenumber").alias("n"), F.col("l_quantity").alias("step"))
+    x = s.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("way"), F.col("l_partkey").alias("node"), F.col("l_linenumber").alias("n"), F.col("l_quantity").alias("step"))
     return x.select("way", "node", F.round(F.sum("step").over(w) / F.sum("step").over(Window.partitionBy("way")), 6).alias("at"))
 
 
@@ -253,9 +253,9 @@ def class_predictor(spark, d):
     return learned.class_predictor(rows, ["n", "level", "residue"], "class").transform(rows).select("id", "class", "prediction")
 
 
-@query("q305_labels_with_features", W("SELECT t.local_id, t.label, round(d.end_frac - d.start_frac, 6) AS span FROM truth t JOIN decided d USING (gers_id, local_id) WHERE d.k % 3 = 0"))
+@query("q305_labels_with_features", W("SELECT t.local_id, t.label, round(d.end_frac - d.start_frac, 6) AS span FROM truth t JOIN decided d USING (gers_id, local_id)"))
 def labels_with_features(spark, d):
-    return s.truth(spark, d).join(s.bridge(spark, d).filter("k % 3 = 0"), ["gers_id", "local_id"]).select("local_id", "label", F.round(F.col("end_frac") - F.col("start_frac"), 6).alias("span"))
+    return s.truth(spark, d).join(s.bridge(spark, d), ["gers_id", "local_id"]).select("local_id", "label", F.round(F.col("end_frac") - F.col("start_frac"), 6).alias("span"))
 
 
 @query("q262_priority_overlay")

@@ -132,14 +132,18 @@ def anchor_road(spark, d):
 
 @query("q079_parallel_siblings")
 def parallel_siblings(spark, d):
-    r = R(spark, d).select("id", "name", "class", "xy")
-    p = blocking.box_join(r, r, 30.0).filter("ref_id <> target_id")
-    offset = g.percentile(F.transform(g.samples(A(), 10.0, 3), lambda z: g.distance_to_line(z, B())), 0.25)
-    p = p.withColumns({"offset": offset, "align": F.cos(F.radians(g.heading_delta(g.heading(A()), g.heading(B())))), "fraction": g.within(A(), B(), 30.0) / g.length(A())})
-    ok = F.col("offset").between(5, 30) & (F.col("align") >= 0.7) & (F.col("fraction") >= 0.3)
+    r = blocking.with_pieces(R(spark, d).select("id", "name", "class", "xy"))
     named = (F.coalesce("ref_name", F.lit("")) != "") & (F.coalesce("target_name", F.lit("")) != "")
-    evidence = F.when(named, F.col("ref_name") == F.col("target_name")).otherwise((F.col("ref_class") == F.col("target_class")) & (F.col("fraction") >= 0.6) & (F.least(g.length(A()), g.length(B())) / F.greatest(g.length(A()), g.length(B())) >= 0.5))
-    best = p.filter(ok & evidence).groupBy("ref_id").agg(F.max(F.struct(F.round("fraction", 6).alias("fraction"), "target_id")).alias("m"))
+    alike = F.least(g.length(A()), g.length(B())) / F.greatest(g.length(A()), g.length(B())) >= 0.5
+    p = blocking.box_join(r, r, 30.0).filter("ref_id <> target_id").filter(F.cos(F.radians(g.heading_delta(g.heading(A()), g.heading(B())))) >= 0.7)
+    # cheap evidence first; a written table then keeps the line kernels from being computed for each of their uses
+    p = p.filter(F.when(named, F.col("ref_name") == F.col("target_name")).otherwise((F.col("ref_class") == F.col("target_class")) & alike))
+    p = matching.scratch(p.select("ref_id", "target_id", "ref_xy", "target_xy", "ref_parts", "target_parts", named.alias("named")))
+    near = blocking.overlaps(p, ["ref_id", "target_id"], 30.0).select("ref_id", "target_id", "overlap_m")
+    p = p.join(near, ["ref_id", "target_id"]).withColumn("fraction", F.col("overlap_m") / g.length(A())).filter((F.col("fraction") >= 0.3) & (F.col("named") | (F.col("fraction") >= 0.6)))
+    offset = g.percentile(F.transform(g.samples(A(), 10.0, 3), lambda z: g.distance_to_line(z, B())), 0.25)
+    p = matching.scratch(p.select("ref_id", "target_id", "fraction", offset.alias("offset"))).filter(F.col("offset").between(5, 30))
+    best = p.groupBy("ref_id").agg(F.max(F.struct(F.round("fraction", 6).alias("fraction"), "target_id")).alias("m"))
     return best.select("ref_id", F.col("m.target_id").alias("sibling_id"), F.col("m.fraction").alias("fraction"))
 
 
