@@ -173,3 +173,32 @@ def longest_word(name: Column) -> Column:
     words = F.filter(F.split(normalise(name), " "), lambda w: ~w.isin(types) & (w != ""))
     best = F.array_max(F.transform(words, lambda w, i: F.struct(F.length(w).alias("n"), (-i).alias("i"), w.alias("w"))))
     return best["w"]
+
+
+def numeric_match(a: Column, b: Column) -> Column:
+    """1 or 0 for equal or unequal route numbers; null where either name has none."""
+    x, y = numeric_suffix(a).cast("long"), numeric_suffix(b).cast("long")
+    return F.when(x.isNotNull() & y.isNotNull(), F.when(x == y, 1.0).otherwise(0.0))
+
+
+def route_number(name: Column) -> Column:
+    """The digits of a numbered route's name, or null for a name that is none."""
+    found = F.regexp_extract(F.lower(F.coalesce(name, F.lit(""))), r"\b(?:i|us|sr|hwy|rte|interstate|route|highway)(?: route| highway| hwy)?[ -]?(\d+)\b", 1)
+    return F.when(found != "", found)
+
+
+def names_compatible(a: Column, b: Column) -> Column:
+    """True for equal names or equal route numbers, false for other pairs of names, null where one is missing."""
+    named = (F.coalesce(a, F.lit("")) != "") & (F.coalesce(b, F.lit("")) != "")
+    return F.when(named, (F.lower(F.trim(a)) == F.lower(F.trim(b))) | F.coalesce(route_number(a) == route_number(b), F.lit(False)))
+
+
+ROUTE_WORDS = r"interstate|highway|route|us|sr|i-|hwy"
+
+
+def likely_same(a: Column, b: Column) -> Column:
+    """Quick test for two names of one road: equal, equal when normalised, sharing nearly all words, or numbered alike."""
+    named = (F.coalesce(a, F.lit("")) != "") & (F.coalesce(b, F.lit("")) != "")
+    alike = (normalise(a) == normalise(b)) | (token_set_ratio(normalise(a), normalise(b)) >= 0.9)
+    routes = F.coalesce(numeric_suffix(a).cast("long") == numeric_suffix(b).cast("long"), F.lit(False)) & F.lower(a).rlike(ROUTE_WORDS) & F.lower(b).rlike(ROUTE_WORDS)
+    return F.coalesce(named & (alike | routes), F.lit(False))

@@ -134,3 +134,75 @@ def cut_points_and_bridges(edges: DataFrame) -> DataFrame:
         return pd.DataFrame(rows, columns=["kind", "u", "v"])
 
     return named.groupBy("component").applyInPandas(work, "kind string, u string, v string")
+
+
+def _blocks(pairs: list[tuple[str, str]]) -> list[list[tuple[str, str]]]:
+    """The biconnected blocks of an edge list, each sorted, in order of their first edge."""
+    near: dict[str, list[str]] = {}
+    for a, b in pairs:
+        near.setdefault(a, []).append(b)
+        near.setdefault(b, []).append(a)
+    seen: dict[str, int] = {}
+    low: dict[str, int] = {}
+    open_edges: list[tuple[str, str]] = []
+    out = []
+    for root in sorted(near):
+        if root in seen:
+            continue
+        seen[root] = low[root] = len(seen)
+        stack = [(root, "", iter(sorted(near[root])))]
+        while stack:
+            at, parent, rest = stack[-1]
+            step = next(rest, None)
+            if step is None:
+                stack.pop()
+                if stack:
+                    up = stack[-1][0]
+                    low[up] = min(low[up], low[at])
+                    if low[at] >= seen[up]:  # what was opened since the walk went down from `up` is one block
+                        block = []
+                        while not block or block[-1] != (up, at):
+                            block.append(open_edges.pop())
+                        out.append(sorted((min(e), max(e)) for e in block))
+            elif step not in seen:
+                seen[step] = low[step] = len(seen)
+                open_edges.append((at, step))
+                stack.append((step, at, iter(sorted(near[step]))))
+            elif step != parent and seen[step] < seen[at]:
+                open_edges.append((at, step))
+                low[at] = min(low[at], seen[step])
+    return sorted(out)
+
+
+def biconnected(edges: DataFrame, most: int = 12) -> DataFrame:
+    """u, v, block, cluster: every edge's biconnected block, and blocks joined in canonical order into clusters of at most `most` edges.
+
+    A block of more edges is a cluster of its own. A component is one task's work.
+    """
+    import pandas as pd
+
+    named = edges.join(matching.components(edges).withColumnRenamed("node", "u"), "u")
+
+    def work(part: pd.DataFrame) -> pd.DataFrame:
+        rows, cluster, held = [], 0, 0
+        for i, block in enumerate(_blocks(list(zip(part["u"], part["v"], strict=True)))):
+            if held and held + len(block) > most:
+                cluster, held = cluster + 1, 0
+            held += len(block)
+            rows += [(u, v, f"{part['component'].iloc[0]}/{i}", f"{part['component'].iloc[0]}/c{cluster}") for u, v in block]
+        return pd.DataFrame(rows, columns=["u", "v", "block", "cluster"])
+
+    return named.groupBy("component").applyInPandas(work, "u string, v string, block string, cluster string")
+
+
+def degree_signatures(edges: DataFrame) -> DataFrame:
+    """node, degree, around: every node's degree and the sorted degrees of its neighbours."""
+    d = degrees(edges)
+    b = both_ways(edges).join(d.select(F.col("node").alias("v"), F.col("degree").alias("near")), "v")
+    return b.groupBy(F.col("u").alias("node")).agg(F.count("*").alias("degree"), F.array_sort(F.collect_list("near")).alias("around"))
+
+
+def degree_similarity(a, b):
+    """1, 0.67, 0.33 or 0 for degrees that differ by 0, 1, 2 or more."""
+    step = F.abs(a - b)
+    return F.when(step == 0, 1.0).when(step == 1, 0.67).when(step == 2, 0.33).otherwise(0.0)

@@ -82,3 +82,11 @@ def bridge_sink(rows: DataFrame, path: str, floor: float = 0.0) -> None:
     ]
     kept = rows.filter((F.col("match_decision") != "no_match") & (F.col("confidence") >= floor))
     kept.select(*[F.col(c).cast(t) for c, t in fixed]).write.mode("overwrite").parquet(path)
+
+
+def resolve_column(df: DataFrame, name: str | None) -> str | None:
+    """The column of df that a configured name means: the same, else the only one that differs in case; None if there is none."""
+    if name is None or name in df.columns:
+        return name
+    alike = [c for c in df.columns if c.lower() == name.lower()]
+    return alike[0] if len(alike) == 1 else None
