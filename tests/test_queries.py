@@ -32,7 +32,8 @@ def test_query(name, spark, sf_dir, con):
     rows = sorted(tuple(shown(r[c]) for c in cols) for r in got.collect())
     sql = registry.oracle_sql().get(name)
     if sql is None:
-        assert rows or name in ("q242_articulation_and_bridges",)
+        # a few find nothing among the 150 segments of the smallest scale
+        assert rows or registry.queries()[name](spark, "/root/testdata/sf0.01").limit(1).collect()
         return
     rel = con.execute(sql)
     names = [x[0] for x in rel.description]
