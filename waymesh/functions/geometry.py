@@ -287,3 +287,37 @@ def geodesic(a: Column, b: Column) -> Column:
 
 def geodesic_length(xy: Column) -> Column:
     return total(F.transform(pieces(xy), lambda s: geodesic(s["a"], s["b"])))
+
+
+def merged_parts(parts: Column) -> Column:
+    """One line of a multi-part line ARRAY<ARRAY<point>>: parts that follow end to end are joined, of what stays apart the longest is kept.
+
+    Parts may run either way; the first in order wins ties. Null for no parts.
+    """
+    n = F.size(parts)
+    kind = "array<struct<x:double,y:double>>"
+    one = lambda line, rest, done: F.struct(line.alias("line"), rest.alias("rest"), done.alias("done"))
+    start = one(F.get(parts, F.lit(0)), F.slice(parts, 2, F.greatest(n - 1, F.lit(0))), F.array().cast(f"array<{kind}>"))
+
+    def fits(line: Column, p: Column) -> Column:
+        return (first(p) == last(line)) | (last(p) == last(line)) | (first(p) == first(line)) | (last(p) == first(line))
+
+    def joined(line: Column, p: Column) -> Column:
+        tail = lambda q: F.slice(q, 2, F.size(q) - 1)
+        return (
+            F.when(first(p) == last(line), F.concat(line, tail(p))).when(last(p) == last(line), F.concat(line, tail(F.reverse(p))))
+            .when(first(p) == first(line), F.concat(F.reverse(p), tail(line))).otherwise(F.concat(p, tail(line)))
+        )
+
+    def step(s: Column, _: Column) -> Column:
+        line, rest, done = s["line"], s["rest"], s["done"]
+        at = F.filter(F.transform(rest, lambda p, i: F.when(fits(line, p), i)), lambda i: i.isNotNull())
+        i = F.get(at, F.lit(0))
+        grown = one(joined(line, F.get(rest, i)), F.filter(rest, lambda p, j: j != i), done)
+        fresh = one(F.get(rest, F.lit(0)), F.slice(rest, 2, F.greatest(F.size(rest) - 1, F.lit(0))), F.array_append(done, line))
+        return F.when(F.size(rest) == 0, s).when(i.isNotNull(), grown).otherwise(fresh)
+
+    whole = F.aggregate(F.slice(parts, 2, F.greatest(n - 1, F.lit(0))), start, step)
+    lines = F.array_append(whole["done"], whole["line"])
+    best = F.array_max(F.transform(lines, lambda p, i: F.struct(length(p).alias("m"), (-i).alias("i"), p.alias("p"))))
+    return F.when(n > 0, best["p"])

@@ -202,3 +202,44 @@ def likely_same(a: Column, b: Column) -> Column:
     alike = (normalise(a) == normalise(b)) | (token_set_ratio(normalise(a), normalise(b)) >= 0.9)
     routes = F.coalesce(numeric_suffix(a).cast("long") == numeric_suffix(b).cast("long"), F.lit(False)) & F.lower(a).rlike(ROUTE_WORDS) & F.lower(b).rlike(ROUTE_WORDS)
     return F.coalesce(named & (alike | routes), F.lit(False))
+
+
+#: What a bundle of name similarities holds, besides flags; null where names can't be compared.
+MEASURES = ("indel", "jaro_winkler", "token_sort", "token_set", "partial", "soundex", "metaphone")
+
+
+def name_bundle(a: Column, b: Column) -> dict[str, Column]:
+    """Similarities and flags of two names.
+
+    Similarities are null where either name is missing or nothing but punctuation, or where the names
+    share no script; soundex and metaphone also where either has letters that aren't Latin.
+    """
+    x, y = normalise(a), normalise(b)
+    has_a, has_b = present(a), present(b)
+    known = (has_a == 1) & (has_b == 1) & (F.length(x) > 0) & (F.length(y) > 0)
+    usable = known & ~cross_script(x, y)
+    latin = usable & (F.size(F.array_except(F.array_union(script_of(x), script_of(y)), F.array(F.lit("Latin")))) == 0)
+    scores = (indel_ratio(x, y), jaro_winkler_similarity(x, y), token_sort_ratio(x, y), token_set_ratio(x, y), partial_ratio(x, y))
+    sounds = (F.when(F.soundex(longest_word(a)) == F.soundex(longest_word(b)), 1.0).otherwise(0.0), indel_ratio(metaphone(x), metaphone(y)))
+    out = {m: F.when(usable, s) for m, s in zip(MEASURES, scores, strict=False)} | {m: F.when(latin, s) for m, s in zip(MEASURES[5:], sounds, strict=True)}
+    generic_name = F.when(known & ((generic(a) == 1) | (generic(b) == 1)), 1.0).otherwise(0.0)
+    return out | {"has_name_ref": has_a, "has_name_target": has_b, "names_missing": ~known, "name_is_generic": generic_name}
+
+
+def variants(primary: Column, common: Column, rules: Column) -> Column:
+    """All names of a segment in the order primary, by language, by rule; equal ones but for case come once."""
+    listed = F.array_compact(F.concat(F.array(primary), F.coalesce(F.map_values(common), F.array().cast("array<string>")), F.coalesce(F.transform(rules, lambda r: r["value"]), F.array().cast("array<string>"))))
+    kept = F.filter(listed, lambda v: v != "")
+    return F.filter(kept, lambda v, i: ~F.exists(F.slice(kept, 1, i), lambda o: F.lower(o) == F.lower(v)))
+
+
+def best_variants(rows, key: str, ref: str, target: str):
+    """key, ref_name, target_name, ratio: the most alike pair of two arrays of names; of equal pairs the first in order.
+
+    A side without names gives null there and the other side's first name.
+    """
+    long = rows.select(key, F.posexplode_outer(ref).alias("i", "r"), target).select(key, "i", "r", F.posexplode_outer(target).alias("j", "t"))
+    scored = long.withColumn("ratio", indel_ratio(normalise(F.col("r")), normalise(F.col("t"))))
+    order = F.struct(F.coalesce("ratio", F.lit(-1.0)).alias("s"), (-F.coalesce("i", F.lit(0))).alias("i"), (-F.coalesce("j", F.lit(0))).alias("j"))
+    best = scored.groupBy(key).agg(F.max_by(F.struct("r", "t", "ratio"), order).alias("m"))
+    return best.select(key, F.col("m.r").alias("ref_name"), F.col("m.t").alias("target_name"), "m.ratio")

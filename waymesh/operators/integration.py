@@ -175,3 +175,35 @@ def integrate(refs: DataFrame, targets: DataFrame, bridge: DataFrame, new_m: flo
     fresh = net_new(rest, refs, 5.0).filter(F.col("net_m") >= new_m).select("id")
     joined = orphans(rest.join(fresh, "id", "left_semi"), refs).filter("hop IS NOT NULL").select("id")
     return refs.select("id", F.lit("reference").alias("source"), "xy").unionByName(rest.join(joined, "id", "left_semi").select("id", F.lit("target").alias("source"), "xy"))
+
+
+def promoted(candidates: DataFrame, refs: DataFrame, metres: float = 5.0, least: float = 10.0, joint: float = 3.0) -> DataFrame:
+    """id of candidates whose halves overlap, by `least` metres each, references of different components of the network."""
+    halves = F.array(*[F.struct(F.lit(i).alias("half"), g.sub_line(F.col("xy"), F.lit(i / 2), F.lit(i / 2 + 0.5)).alias("xy")) for i in (0, 1)])
+    parts = candidates.select("id", F.inline(halves)).select("id", "half", "xy")
+    pairs = blocking.box_join(blocking.with_pieces(parts), blocking.with_pieces(refs.select("id", "xy")), metres)
+    over = blocking.overlaps(pairs, ["ref_id", "ref_half", "target_id"], metres).filter(F.col("overlap_m") >= least)
+    own = network_components(refs, joint).withColumnRenamed("id", "target_id")
+    at = over.join(own, "target_id").groupBy("ref_id").agg(F.collect_set(F.when(F.col("ref_half") == 0, F.col("component"))).alias("a"), F.collect_set(F.when(F.col("ref_half") == 1, F.col("component"))).alias("b"))
+    differ = (F.size("a") > 0) & (F.size("b") > 0) & (F.size(F.array_union("a", "b")) > 1)
+    return at.filter(differ).select(F.col("ref_id").alias("id"))
+
+
+def network_components(rows: DataFrame, metres: float) -> DataFrame:
+    """id, component: the least id of the segments that touching ends connect."""
+    near = blocking.endpoint_pairs(rows, metres).select(F.col("id").alias("u"), F.col("r_id").alias("v"))
+    own = matching.components(near).withColumnRenamed("node", "id")
+    return rows.select("id").join(own, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
+def orphan_components(lost: DataFrame, network: DataFrame, joint: float = 6.0, within: float = 500.0) -> DataFrame:
+    """id, component, n, nearest_m, priority of orphaned segments; nearest_m is null where the network is further than `within`.
+
+    Priority goes by a segment's own length: high over 50 m, medium over 10 m, else low.
+    """
+    own = network_components(lost, joint)
+    size = own.groupBy("component").agg(F.count("*").alias("n"))
+    far = blocking.nearest(lost, network, within, within).select(F.col("ref_id").alias("id"), F.col("distance").alias("nearest_m"))
+    m = g.length(F.col("xy"))
+    marked = lost.select("id", F.when(m > 50, "high").when(m > 10, "medium").otherwise("low").alias("priority"))
+    return marked.join(own, "id").join(size, "component").join(far, "id", "left").select("id", "component", "n", "nearest_m", "priority")

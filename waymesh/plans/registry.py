@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from . import graphs, labels, more, relational, rules, scalars, spatial, stream  # noqa: F401
+    from . import choices, graphs, labels, more, relational, rules, scalars, spatial, stream  # noqa: F401
 
 
 def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:

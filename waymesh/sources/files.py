@@ -90,3 +90,46 @@ def resolve_column(df: DataFrame, name: str | None) -> str | None:
         return name
     alike = [c for c in df.columns if c.lower() == name.lower()]
     return alike[0] if len(alike) == 1 else None
+
+
+def connectors(points: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+    """Connector rows (id, x, y, ...) in a box (x0, y0, x1, y1), by plain comparisons that reach the scan."""
+    x0, y0, x1, y1 = box
+    return points.filter(F.col("x").between(x0, x1) & F.col("y").between(y0, y1))
+
+
+def lines_only(rows: DataFrame, kind: str = "kind", parts: str = "parts") -> DataFrame:
+    """rows with xy: lines and multi-part lines as one line each; other kinds, nulls and lines of a point go."""
+    from ..functions import geometry as g
+
+    wanted = rows.filter(F.col(kind).isin("LineString", "MultiLineString"))
+    return wanted.withColumn("xy", g.merged_parts(F.col(parts))).filter(F.size("xy") > 1).drop(parts)
+
+
+def local_lines(spark: SparkSession, path: str, columns: dict[str, str | None], defaults: dict[str, str] | None = None) -> DataFrame:
+    """A Parquet, JSON or CSV file under the common names: columns maps id, name, class and the like to a column, in any case.
+
+    Columns that the file lacks are null, or the default given; keys are read as text.
+    """
+    suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
+    reader = {"parquet": spark.read.parquet, "json": spark.read.json, "csv": spark.read.option("header", True).csv}.get(suffix)
+    if reader is None:
+        raise ValueError(f"no reader for .{suffix}")
+    df = reader(path)
+    out = []
+    for name, source in columns.items():
+        c = resolve_column(df, source)
+        value = F.col(f"`{c}`").cast("string") if c in df.columns else F.lit(None).cast("string")
+        out.append(F.coalesce(value, F.lit((defaults or {}).get(name))).alias(name))
+    return df.select(*out, *[F.col(c) for c in ("xy",) if c in df.columns])
+
+
+def write_integration(result: dict[str, DataFrame], folder: str) -> DataFrame:
+    """Each layer as Parquet under its name, and `stats` (layer, n) as JSON; returns stats."""
+    stats = None
+    for name, layer in result.items():
+        layer.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+        one = layer.sparkSession.read.parquet(f"{folder}/{name}.parquet").agg(F.lit(name).alias("layer"), F.count("*").alias("n"))
+        stats = one if stats is None else stats.unionByName(one)
+    stats.write.mode("overwrite").json(f"{folder}/stats.json")
+    return stats
