@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymesh.functions import geometry as g
+from waymesh.functions import ranges
 from waymesh.functions import text as tx
 from waymesh.operators import choices, integration, learned
 from waymesh.sources import files
@@ -136,3 +137,27 @@ def test_local_lines_and_layers(spark, tmp_path):
     stats = files.write_integration({"edges": spark.range(3).toDF("id"), "nodes": spark.range(2).toDF("id")}, str(tmp_path / "out"))
     assert {r.layer: r.n for r in stats.collect()} == {"edges": 3, "nodes": 2}
     assert spark.read.json(f"{tmp_path}/out/stats.json").count() == 2
+
+
+def test_names_by_place(spark):
+    rules = "array<struct<value:string,variant:string,language:string,between:array<double>>>"
+    rows = [(1, "Main", [("Kurz", "short", None, None), ("Haupt", "common", "de", [0.0, 0.5]), ("Main", "common", None, [0.25, 0.5]), (None, "common", None, None)]), (2, "Main", None), (3, None, [])]
+    got = {r.k: [tuple(x) for x in r.v] for r in spark.createDataFrame(rows, f"k int, p string, r {rules}").select("k", ranges.names(F.col("p"), F.col("r")).alias("v")).collect()}
+    assert got == {1: [(0.0, 0.25, "Haupt"), (0.25, 0.5, "Main"), (0.5, 1.0, "Kurz")], 2: [(0.0, 1.0, "Main")], 3: [(0.0, 1.0, None)]}
+
+
+def test_access_by_place(spark):
+    rules = "array<struct<access_type:string,modes:array<string>,scoped:boolean,between:array<double>>>"
+    rows = [
+        (1, "motorway", [("denied", ["foot"], None, None), ("allowed", ["foot"], True, [0.0, 0.5])]),
+        (2, "service", [("denied", None, False, None), ("designated", ["bicycle"], False, None)]),
+        (3, "path", [("permit", ["foot"], False, None)]),
+        (4, None, None),
+    ]
+    df = spark.createDataFrame(rows, f"k int, c string, r {rules}").select("k", ranges.access(F.col("r"), F.col("c")).alias("v"))
+    got = {r.k: [(x.start, x.end, x.value) for x in r.v] for r in df.collect()}
+    motor, bike = {"motor_vehicle": "allowed/class_default"}, {"bicycle": "denied/class_default"}
+    assert got[1] == [(0.0, 0.5, motor | bike | {"foot": "restricted/tagged"}), (0.5, 1.0, motor | bike | {"foot": "denied/tagged"})]
+    assert got[2] == [(0.0, 1.0, {"motor_vehicle": "denied/tagged", "bicycle": "designated/tagged", "foot": "denied/tagged"})]
+    assert got[3] == [(0.0, 1.0, {"foot": "restricted/tagged"})]
+    assert got[4] == [(0.0, 1.0, {})]

@@ -69,3 +69,85 @@ def normalise(rules: Column, default: Column) -> Column:
 
     empty = F.array().cast("array<struct<start:double,end:double,value:string>>")
     return F.aggregate(F.transform(spans, winner), empty, lambda d, r: F.when(F.size(d) == 0, F.array(r)).otherwise(join(d, r)))
+
+
+RULE = "array<struct<start:double,end:double,value:string,priority:int>>"
+
+
+def _scope(rule: Column) -> tuple[Column, Column]:
+    """A rule's start and end; the whole segment where `between` is null or not of two numbers."""
+    whole = ~F.coalesce(F.size(rule["between"]) == 2, F.lit(False))
+    return F.when(whole, 0.0).otherwise(F.get(rule["between"], F.lit(0))), F.when(whole, 1.0).otherwise(F.get(rule["between"], F.lit(1)))
+
+
+def parsed(rules: Column, value, rank, default: Column) -> Column:
+    """Nested rules (with between ARRAY<DOUBLE>) as disjoint ranges; value and rank are functions of a rule and its place. Rules without a value go."""
+
+    def one(r: Column, i: Column) -> Column:
+        lo, hi = _scope(r)
+        return F.struct(lo.alias("start"), hi.alias("end"), value(r).cast("string").alias("value"), rank(r, i).cast("int").alias("priority"))
+
+    known = F.filter(F.transform(rules, one), lambda r: r["value"].isNotNull() & (r["end"] > r["start"]))
+    return normalise(F.coalesce(known, F.array().cast(RULE)), default.cast("string"))
+
+
+# Order of name variants; all others come last.
+VARIANTS = {"common": 0, "official": 1, "alternate": 2, "alt": 2, "short": 3, "colloquial": 4, "historical": 5}
+
+
+def names(primary: Column, rules: Column) -> Column:
+    """Names by place: better variants first, then names without a language, then the first in order; the primary name elsewhere."""
+    ranks = F.create_map(*[F.lit(x) for p in VARIANTS.items() for x in p])
+    kind = lambda r: F.coalesce(F.element_at(ranks, F.lower(F.coalesce(r["variant"], F.lit("common")))), F.lit(10))
+    return parsed(rules, lambda r: r["value"], lambda r, i: kind(r) * 10 + F.when(r["language"].isNull(), 0).otherwise(1), primary)
+
+
+def speeds(rules: Column) -> Column:
+    """Whole km/h by place, as text; the first rule wins."""
+    kph = lambda r: F.when(F.lower(r["unit"]) == "mph", F.round(r["value"] * 1.609344)).otherwise(r["value"]).cast("int")
+    return parsed(rules, kph, lambda r, i: i, F.lit(None))
+
+
+def valued(rules: Column, default: Column | None = None) -> Column:
+    """Subclasses, levels, flags and one-way values by place; the first rule wins."""
+    return parsed(rules, lambda r: r["value"], lambda r, i: i, F.lit(None) if default is None else default)
+
+
+# Modes of access, and classes open to motor vehicles.
+MODES = ("motor_vehicle", "bicycle", "foot")
+DRIVEABLE = ("motorway", "trunk", "primary", "secondary", "tertiary", "unclassified", "residential", "living_street", "service")
+
+
+def access(rules: Column, road_class: Column) -> Column:
+    """ARRAY<STRUCT<start, end, value>>: a map of mode to `<value>/<tagged or class_default>` by place; unknown modes are not in it.
+
+    rules hold access_type, modes (null: all), scoped and between. What is said without a scope comes
+    first, and of that what allows most; a plain denial that has a scoped exception is restricted, as is
+    what is only said with a scope, and any other access type. Classes fill modes that no rule names.
+    """
+    empty = F.array().cast("array<struct<start:double,end:double,kind:string,scoped:boolean,modes:array<string>>>")
+    seen = F.transform(rules, lambda r: F.struct(_scope(r)[0].alias("start"), _scope(r)[1].alias("end"), r["access_type"].alias("kind"), (F.coalesce(r["scoped"], F.lit(False)) | ~r["access_type"].isin("allowed", "designated", "denied")).alias("scoped"), r["modes"].alias("modes")))
+    seen = F.coalesce(F.filter(seen, lambda r: r["kind"].isNotNull() & (r["end"] > r["start"])), empty)
+    cuts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.flatten(F.transform(seen, lambda r: F.array(r["start"], r["end"]))))))
+    n = F.size(cuts)
+    cls = F.lower(F.trim(road_class))
+    by_class = {
+        "motor_vehicle": F.when(cls.isin(*DRIVEABLE), "allowed"), "bicycle": F.when(cls == "motorway", "denied").when(cls == "cycleway", "designated"),
+        "foot": F.when(cls == "motorway", "denied").when(cls.isin("footway", "sidewalk"), "designated"),
+    }
+
+    def at(a: Column, b: Column) -> Column:
+        live = F.filter(seen, lambda r: (r["start"] <= a) & (r["end"] >= b))
+
+        def told(mode: str) -> Column:
+            own = F.filter(live, lambda r: F.coalesce(F.array_contains(r["modes"], mode), F.lit(True)))
+            says = lambda kind, scoped: F.exists(own, lambda r: (r["scoped"] == scoped) & r["kind"].isin(*kind))
+            return (
+                F.when(says(("allowed",), False), "allowed").when(says(("designated",), False), "designated")
+                .when(says(("denied",), False), F.when(says(("allowed", "designated"), True), "restricted").otherwise("denied")).when(F.size(own) > 0, "restricted")
+            )
+
+        pairs = [F.struct(F.lit(m).alias("key"), F.coalesce(F.concat(told(m), F.lit("/tagged")), F.concat(by_class[m], F.lit("/class_default"))).alias("value")) for m in MODES]
+        return F.struct(a.alias("start"), b.alias("end"), F.map_from_entries(F.filter(F.array(*pairs), lambda p: p["value"].isNotNull())).alias("value"))
+
+    return F.zip_with(F.slice(cuts, 1, n - 1), F.slice(cuts, 2, n - 1), at)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
+from ..functions import ranges
 from ..functions import text as tx
 from ..operators import choices, graph, integration, learned, matching
 from ..sources import files
@@ -150,3 +151,30 @@ def lines_only(spark, d):
     cut = F.when(k == 0, F.array(F.slice(xy, 1, 2), F.slice(xy, 2, 2))).when(k == 1, F.array(xy, F.transform(F.slice(far, 1, 1), lambda p: p))).otherwise(F.array(xy))
     rows = R(spark, d).select("id", F.when(k < 2, "MultiLineString").when(k == 2, "LineString").otherwise("Point").alias("kind"), cut.alias("parts"))
     return files.lines_only(rows).select("id", F.size("xy").alias("n"), g.first(xy)["x"].alias("x"), g.last(xy)["y"].alias("y"))
+
+
+#: Rules of a customer: a short name over its first half, a common one over the first quarter of every second, a speed in miles over the second half.
+@query("q225_parsed_names", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN ['0.0:common', '0.25:short', '0.5:' || c_mktsegment] ELSE ['0.0:short', '0.5:' || c_mktsegment] END AS spans FROM customer")
+def parsed_names(spark, d):
+    rule = lambda value, variant, end: F.struct(F.lit(value).alias("value"), F.lit(variant).alias("variant"), F.lit(None).cast("string").alias("language"), F.array(F.lit(0.0), F.lit(end)).alias("between"))
+    rules = F.array_compact(F.array(rule("short", "short", 0.5), F.when(F.col("c_custkey") % 2 == 0, rule("common", "common", 0.25))))
+    return s.table(spark, d, "customer").select("c_custkey", F.transform(ranges.names(F.col("c_mktsegment"), rules), lambda r: F.concat_ws(":", r["start"], r["value"])).alias("spans"))
+
+
+@query("q225_parsed_speeds", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN '0.5-1.0:' || CASE WHEN c_custkey % 2 = 0 THEN round((c_custkey % 60 + 5) * 1.609344)::INT ELSE c_custkey % 60 + 5 END ELSE '' END AS spans FROM customer")
+def parsed_speeds(spark, d):
+    k = F.col("c_custkey")
+    rule = F.struct((k % 60 + 5).alias("value"), F.when(k % 2 == 0, "mph").otherwise("km/h").alias("unit"), F.array(F.lit(0.5), F.lit(1.0)).alias("between"))
+    known = F.filter(ranges.speeds(F.array_compact(F.array(F.when(k % 3 == 0, rule)))), lambda r: r["value"].isNotNull())
+    return s.table(spark, d, "customer").select("c_custkey", F.array_join(F.transform(known, lambda r: F.concat(r["start"], F.lit("-"), r["end"], F.lit(":"), r["value"])), ",").alias("spans"))
+
+
+ACCESS = "SELECT c_custkey, 'footway' AS class, CASE c_custkey % 4 WHEN 0 THEN 'denied' WHEN 1 THEN 'allowed' WHEN 2 THEN 'permit' END AS kind, c_custkey % 3 = 0 AS scoped FROM customer"
+
+
+@query("q225_parsed_access", f"SELECT c_custkey, CASE WHEN kind IS NULL THEN NULL WHEN scoped OR kind = 'permit' THEN 'restricted/tagged' ELSE kind || '/tagged' END AS bicycle, 'designated/class_default' AS foot FROM ({ACCESS})")
+def parsed_access(spark, d):
+    s.table(spark, d, "customer").createOrReplaceTempView("customer")
+    rule = F.struct(F.col("kind").alias("access_type"), F.array(F.lit("bicycle")).alias("modes"), "scoped", F.lit(None).cast("array<double>").alias("between"))
+    value = F.get(ranges.access(F.array(rule), F.col("class")), F.lit(0))["value"]
+    return spark.sql(ACCESS).select("c_custkey", value["bicycle"].alias("bicycle"), value["foot"].alias("foot"))
