@@ -49,22 +49,27 @@ def naive(ref: DataFrame, target: DataFrame, buffer_m: float = 15.0, min_overlap
 
 
 def scored(ref: DataFrame, target: DataFrame, metres: float = 25.0) -> DataFrame:
-    """Candidate pairs with transparent rule confidence from overlap both ways, heading and names."""
-    pairs = blocking.box_join(blocking.with_pieces(ref), blocking.with_pieces(target), metres)
+    """Candidate pairs with transparent rule confidence from overlap both ways, heading and names.
+
+    The box join and the distances carry ids and pieces only; lines and attributes are fetched by id for pairs that are near.
+    """
+    short = lambda d: blocking.with_pieces(d.select("id", "xy")).select("id", "xy", "parts")
+    boxes = blocking.box_join(short(ref), short(target), metres)
+    near = blocking.line_distances(boxes, ["ref_id", "target_id"]).filter(F.col("distance") <= metres)
+    side = lambda d, prefix: d.select(*[F.col(c).alias(prefix + c) for c in d.columns])
+    pairs = near.join(side(blocking.with_pieces(ref), "ref_"), "ref_id").join(side(blocking.with_pieces(target), "target_"), "target_id")
     a, b = F.col("ref_xy"), F.col("target_xy")
-    keys = ["ref_id", "target_id"]
-    near = blocking.line_distances(pairs, keys).filter(F.col("distance") <= metres)
-    pairs = pairs.join(near, keys)
     ra, rb = g.project(g.first(b), a)["f"], g.project(g.last(b), a)["f"]
     ta, tb = g.project(g.first(a), b)["f"], g.project(g.last(a), b)["f"]
+    pairs = pairs.withColumns({"__ra": ra, "__rb": rb, "__ta": ta, "__tb": tb})
     pairs = pairs.withColumns(
         {
             "heading_diff": g.heading_delta(F.col("ref_h"), F.col("target_h")),
-            "ref_from": F.least(ra, rb), "ref_to": F.greatest(ra, rb), "target_from": F.least(ta, tb), "target_to": F.greatest(ta, tb),
+            "ref_from": F.least("__ra", "__rb"), "ref_to": F.greatest("__ra", "__rb"), "target_from": F.least("__ta", "__tb"), "target_to": F.greatest("__ta", "__tb"),
             "ref_length": F.col("ref_n"), "target_length": F.col("target_n"),
             "same_name": (F.coalesce(F.col("ref_name"), F.lit("")) != "") & (F.col("ref_name") == F.col("target_name")),
         }
-    ).fillna({"same_name": False})
+    ).drop("__ra", "__rb", "__ta", "__tb").fillna({"same_name": False})
     cover = F.least(F.lit(1.0), F.greatest(F.col("ref_to") - F.col("ref_from"), F.col("target_to") - F.col("target_from")))
     near = 1 - F.col("distance") / metres
     conf = F.greatest(F.lit(0.0), F.lit(0.45) * cover + F.lit(0.3) * (1 - F.col("heading_diff") / 90) + F.lit(0.2) * near + F.when(F.col("same_name"), 0.05).otherwise(0.0))
@@ -86,22 +91,22 @@ def rank_order() -> list[Column]:
     return [F.desc("confidence"), F.desc(F.col("same_name").cast("int")), F.desc(F.round("coverage", 9)), F.asc("ref_id"), F.asc("target_id")]
 
 
-def greedy(pairs: DataFrame, least: float = 0.1, most_rounds: int = 60) -> DataFrame:
+def greedy(pairs: DataFrame, least: float = 0.1) -> DataFrame:
     """One-to-one assignment, equal to taking pairs in the canonical order while both ends are free.
 
     Each round takes every pair that is first for both its ends; their ends leave. Rounds end when
-    no pair is left; each is written, so that the plan stays short.
+    no pair is left, whose number has no bound but the pairs': the best pair of all is taken in each.
+    Each is written, so that the plan stays short.
     """
     by_ref, by_target = Window.partitionBy("ref_id").orderBy(*rank_order()), Window.partitionBy("target_id").orderBy(*rank_order())
     left, taken = scratch(pairs.filter(F.col("confidence") >= least)), None
-    for _ in range(most_rounds):
+    while True:
         won = left.withColumn("__a", F.row_number().over(by_ref)).withColumn("__b", F.row_number().over(by_target)).filter("__a = 1 AND __b = 1").drop("__a", "__b")
         won = scratch(won)
         taken = won if taken is None else taken.unionByName(won)
         left = scratch(left.join(won.select("ref_id"), "ref_id", "left_anti").join(won.select("target_id"), "target_id", "left_anti").select(pairs.columns))
         if left.isEmpty():
             return taken
-    raise RuntimeError("the greedy assignment did not end")
 
 
 def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
@@ -127,7 +132,7 @@ def match_components(pairs: DataFrame, least: float = 0.1, glue: float = 0.5) ->
     """pairs with component: structural edges form components, weak or sliver edges join only inside one."""
     span_r, span_t = F.col("ref_to") - F.col("ref_from"), F.col("target_to") - F.col("target_from")
     thin = is_sliver(span_r, span_t, span_r * F.col("ref_length"), span_t * F.col("target_length"))
-    kept = pairs.filter(F.col("confidence") >= least).withColumn("structural", (F.col("confidence") >= glue) & ~thin)
+    kept = scratch(pairs.filter(F.col("confidence") >= least).withColumn("structural", (F.col("confidence") >= glue) & ~thin))
     strong = kept.filter("structural").select(F.concat(F.lit("r:"), "ref_id").alias("u"), F.concat(F.lit("t:"), "target_id").alias("v"))
     named = scratch(components(strong))
     r = named.select(F.col("node").alias("__r"), F.col("component").alias("__rc"))
@@ -173,19 +178,22 @@ def propagate(pairs: DataFrame, cell: float = 25.0, rounds: int = 2, damping: fl
     def corners(side: str) -> Column:
         return F.array_distinct(F.transform(F.array(g.first(F.col(side)), g.last(F.col(side))), lambda q: F.struct(g.snap_cell(q["x"], cell).alias("cx"), g.snap_cell(q["y"], cell).alias("cy"))))
 
+    def best_other(side: str) -> Column:
+        """The greatest p among the other pairs of the same segment: the second for the first pair, else the first."""
+        w = Window.partitionBy(side).orderBy(F.desc("p"), "pair")
+        return F.when(F.row_number().over(w) == 1, F.lead("p").over(w)).otherwise(F.first("p").over(w))
+
     ends = base.select("pair", "ref_id", "target_id", F.explode(F.array_intersect(corners("ref_xy"), corners("target_xy"))).alias("corner"))
     other = ends.select(F.col("pair").alias("q"), F.col("ref_id").alias("q_ref"), F.col("target_id").alias("q_target"), "corner")
     agree = scratch(ends.join(other, "corner").filter((F.col("ref_id") != F.col("q_ref")) & (F.col("target_id") != F.col("q_target"))).select("pair", "q").distinct())
-    side = lambda c: base.select("pair", c).join(base.select(F.col("pair").alias("q"), c), c).filter("pair <> q").select("pair", "q")
-    rivals = scratch(side("ref_id").unionAll(side("target_id")))
-    drift = base.select("pair", "logit", F.lit(0.0).alias("drift"))
+    drift = base.select("pair", "ref_id", "target_id", "logit", F.lit(0.0).alias("drift"))
     for _ in range(rounds):
-        belief = drift.select(F.col("pair").alias("q"), (1 / (1 + F.exp(-(F.col("logit") + F.col("drift"))))).alias("p"))
-        up = agree.join(belief, "q").groupBy("pair").agg(F.avg("p").alias("up"))
-        down = rivals.join(belief, "q").groupBy("pair").agg(F.max("p").alias("down"))
-        moved = drift.join(up, "pair", "left").join(down, "pair", "left")
+        now = drift.withColumn("p", 1 / (1 + F.exp(-(F.col("logit") + F.col("drift")))))
+        up = agree.join(now.select(F.col("pair").alias("q"), "p"), "q").groupBy("pair").agg(F.avg("p").alias("up"))
+        down = now.withColumns({"by_ref": best_other("ref_id"), "by_target": best_other("target_id")}).withColumn("down", F.greatest("by_ref", "by_target"))
         push = F.coalesce(F.col("up"), F.lit(0.0)) * 0.6 - F.coalesce(F.col("down"), F.lit(0.0)) * 0.6
-        drift = moved.select("pair", "logit", F.greatest(F.lit(-cap), F.least(F.lit(cap), damping * F.col("drift") + (1 - damping) * push)).alias("drift"))
+        moved = down.join(up, "pair", "left").withColumn("drift", F.greatest(F.lit(-cap), F.least(F.lit(cap), damping * F.col("drift") + (1 - damping) * push)))
+        drift = scratch(moved.select("pair", "ref_id", "target_id", "logit", "drift"))
     return base.join(drift.select("pair", "drift"), "pair").select("ref_id", "target_id", "confidence", (1 / (1 + F.exp(-(F.col("logit") + F.col("drift"))))).alias("propagated"))
 
 

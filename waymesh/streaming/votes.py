@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import matching
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream."""
@@ -24,8 +28,19 @@ def latest_ballots(stream: DataFrame) -> DataFrame:
     return v.groupBy("group_id", "seat").agg(F.max("m").alias("m")).select("group_id", "seat", F.col("m.event_type").alias("choice"))
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Run a stream over what is there into an in-memory table; for reports and tests."""
-    stream = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
-    stream.awaitTermination()
-    return df.sparkSession.table(name)
+def run_to_table(df: DataFrame, mode: str = "complete") -> DataFrame:
+    """Run a stream over what is there; its result as Parquet tables in the shared folder, one a batch.
+
+    In complete mode the last batch holds everything, in append mode all batches do. Nothing goes to the driver.
+    """
+    at: list[DataFrame] = []
+
+    def keep(batch: DataFrame, number: int) -> None:
+        if mode == "complete":
+            at.clear()
+        at.append(matching.scratch(batch))
+
+    df.writeStream.outputMode(mode).foreachBatch(keep).trigger(availableNow=True).start().awaitTermination()
+    if not at:
+        return df.sparkSession.createDataFrame([], df.schema)
+    return reduce(DataFrame.unionByName, at)
