@@ -152,6 +152,42 @@ def test_pairs_within_a_branched_coarse_group(spark):
     assert got == brute_components(texts, 3, 85)
 
 
+def test_texts_are_not_sent_for_few_dropped_ids(spark, monkeypatch):
+    words = " ".join(f"w{i}" for i in range(40))
+    frame = spark.createDataFrame([(i, words if i < 3 else f"{words} {i} " * i) for i in range(9)] + [(None, words), (4, None), (1, words)], "doc_id long, text string")
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = dedup.deduplicated(frame.filter("doc_id <> 4 AND doc_id <> 1 OR doc_id IS NULL"))
+        assert "SortMergeJoin" not in plan(out) and "LeftAnti" in plan(out)
+        few = dedup.deduplicated(frame).collect()
+        monkeypatch.setattr(dedup, "MOST_BROADCAST", -1)
+        assert "SortMergeJoin" in plan(dedup.deduplicated(frame))
+        assert sorted(map(str, dedup.deduplicated(frame).collect())) == sorted(map(str, few))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    ids = [r.doc_id for r in few]
+    assert None in ids and 0 in ids and not {1, 2} & set(ids) and len(ids) == len(set(ids))
+
+
+def test_branching_joins_sketches_once(spark):
+    class Counted:
+        calls = 0
+
+        def __init__(self, rows):
+            self.rows = rows
+
+        def select(self, *cols):
+            Counted.calls += 1
+            return self.rows.select(*cols)
+
+    live = spark.range(20).selectExpr("id", "0 AS tree", "1L AS path", "id AS part", "20L AS n")
+    sketch = Counted(spark.range(20).selectExpr("id", "array_repeat(7, 64) AS sketch"))
+    ends = dedup.branched(live, sketch, limit=4, depth=4).collect()
+    assert Counted.calls == 1 and sorted(r.id for r in ends) == list(range(20)) and len({r.path for r in ends}) == 1
+
+
 def test_near_duplicates_equal_brute_force(spark, sf_dir):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: r.component_id for r in queries.op3_near_duplicates(spark, sf_dir).collect()}
