@@ -290,6 +290,22 @@ def test_tree_without_names(spark):
     assert {r.main_text for r in got} == {f"unique text {i}" for i in range(12)}
 
 
+def test_tree_tells_pools_shared_by_hosts(spark):
+    # one page a host: only all hosts together show that menus and closing sentences come from a pool
+    page = "<html><body><div class='x1'>entry {1}</div><div class='x2'><p>text {0}. more {0}.</p></div><div class='x3'>(c) h{0}.example · said {1}. Closing.</div></body></html>"
+    rows = [(i, f"http://h{i}.example/", page.format(i, i % 4)) for i in range(60)] + [(i, f"http://copy{i}.example/", "<div class='y'>a copied article</div>") for i in (90, 91, 92)]
+    want = {i: f"text {i}. more {i}." if i < 60 else "a copied article" for i, _, _ in rows}
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for names in (True, False):
+        assert {r.page_id: r.main_text for r in html.extract(frame, names=names).collect()} == want
+
+
+def test_tree_alone_equals_tree_and_names(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    both, alone = ({r.page_id: r.main_text for r in html.extract(pages, names=x).collect()} for x in (True, False))
+    assert len(both) == 2500 and both == alone
+
+
 def test_deep_pages_keep_importance_of_all_ancestors(spark):
     deep = "".join(f"<div class='d{j}'>" for j in range(60))
     rows = [(1, f"{deep}<i>words {i}</i>") for i in range(6)]
