@@ -48,8 +48,8 @@ from .common import LOWER, U64, blocks, mix, text_bytes, word_hashes, written
 from .components import components
 
 SKETCH = 64
-#: Rows of ids that are broadcast at most; more are joined by a shuffle of both sides. Results are the same.
-MOST_BROADCAST = 2_000_000
+#: Rows times columns (ids and numbers) that are broadcast at most; more are joined by a shuffle of both sides. Results are the same.
+MOST_BROADCAST = 3_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _RNG = np.random.default_rng(77)
@@ -106,7 +106,7 @@ def described(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
 
 def narrow(rows: DataFrame) -> DataFrame:
     """rows of ids and numbers, marked to be broadcast to a join with texts or sketches while they are few, so that these stay where they are."""
-    return F.broadcast(rows) if rows.count() <= MOST_BROADCAST else rows
+    return F.broadcast(rows) if rows.count() * len(rows.columns) <= MOST_BROADCAST else rows
 
 
 def token(level: int) -> Column:
