@@ -223,6 +223,30 @@ def test_license_spans(spark):
     assert got[4].labels == "mit" and 0.5 <= got[4].license_score < 1 and got[4].base_labels == ""
 
 
+def test_licenses_cut_texts_once_and_exchange_nothing(spark):
+    notice = licenses.TEMPLATES[1][1]
+    rows = [(1, "word " * 50_000 + notice + " x" * 5), (2, notice.replace("free of charge", "at no charge") + " | " + notice), (2, notice), (2, notice), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = licenses.scan(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # a scan of rows by themselves: words are not cut again for the spans, nor copied with each of their places
+    assert plan.count("regexp_extract_all") == 1 and not re.search("Generate|Join|Exchange", plan)
+    got = sorted(((r.doc_id or 0, r.n_words, r.n_base, r.labels, r.license_score) for r in out.collect()))
+    n = len(re.findall(licenses.WORD, notice))
+    assert got == [(0, 0, 0, "", 0.0), (1, 50_000 + n + 5, 0, "mit", 1.0)] + sorted([(2, n, 0, "mit", 1.0)] * 2 + [(2, 2 * n, 0, "mit", 1.0)])
+    spans = sorted((r.id, r.label, r.first_word, r.last_word, round(r.share, 3)) for r in licenses.spans(docs).collect())
+    # equal rows name their span once; two changed words take four of the notice's 3-grams
+    assert spans == sorted([(1, "mit", 50_000, 50_000 + n - 1, 1.0), (2, "mit", 0, n - 1, 1.0), (2, "mit", 0, n - 1, round((n - 6) / (n - 2), 3)), (2, "mit", n, 2 * n - 1, 1.0)])
+
+
+def test_license_words_are_all_but_other_ascii(spark):
+    ends = [0x80, 0xFF, 0x130, 0x2028, 0xD7FF, 0xE000, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF]
+    every = "".join(map(chr, [*range(128), *ends, *(c for e in ends for c in (0x20, e))]))
+    want = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]+", lambda m: m[0].lower(), every))
+    got = spark.createDataFrame([(every,)], "text string").select(licenses.words_of(F.col("text")).alias("words")).first().words
+    assert got == want
+
+
 def test_nearest_equal_brute_force(spark):
     rng = np.random.default_rng(0)
     x = rng.standard_normal((600, 16))

@@ -1,29 +1,34 @@
 """License scans by diagonal voting, in DataFrame operations only.
 
-Every rolling k-gram of a text's words is hashed and joined to the k-grams of the license templates
-(a fixed table of some hundred rows, so it is broadcast). A hit votes for the diagonal
+Every rolling k-gram of a text's words is looked up among the k-grams of the license templates
+(a fixed table of some hundred rows, up to a few thousand, which is a literal of the plan). A hit votes for the diagonal
 text position - template position. Diagonals of one template that lie within `slack` of each other
-are merged (words may be missing or added), and a merged span is verified: the hit's words are the
-template's, not only their hashes, and the distinct template positions hit must reach `least` of
-the template's k-grams.
+are merged (words may be missing or added), and a merged span is verified: the distinct template
+positions hit must reach `least` of the template's k-grams. Hits are of the words themselves, so that
+no collision of hashes counts.
+
+A row is worked on by itself: its words are cut once, its hits sorted by template and diagonal and
+cut into runs, which takes n log n steps for n hits. Nothing is exchanged or joined.
 
 Words are runs of letters and digits (ASCII ones lower-cased, all other characters above 127 count
 as letters). Base phrases are found by direct comparison of consecutive words.
 
 Defined cases: null text counts as empty, with no words, no places and score 0; texts shorter than k
-words have no k-gram; overlapping phrases all count; repeated rows give repeated rows (votes count
-distinct positions, so they don't add up); rows with a null id are kept and joined null-safely;
-extra columns pass through in scan(); very long texts are exploded row by row, never held per group.
+words have no k-gram; overlapping phrases all count; repeated rows give repeated rows (spans() names
+a span of such rows once); rows with a null id are kept; extra columns pass through in scan(); of a
+long text its words and its hits are held, never a copy of all words with each of them.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# said by what the class holds: cutting words by the negated class of all other ASCII takes Java 3.7 times as long
+WORD = "[0-9A-Za-z\x80-\U0010FFFF]+"
 K = 3
 
 # Phrases and their labels.
@@ -91,56 +96,94 @@ def phrase_places(words: Column, phrase: str) -> Column:
     return F.when(F.array_contains(words, parts[0]), places).otherwise(F.array().cast("array<bigint>"))
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once a row, however often f names it (also inside lambdas)."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def indices(items: Column, holds: Callable[[Column, Column], Column]) -> Column:
+    """The indices (from 0) of the elements for which holds(element, index) is true."""
+    return F.array_remove(F.transform(items, lambda x, i: F.when(holds(x, i), i).otherwise(F.lit(-1))), F.lit(-1))
+
+
+def template_hits(words: Column, templates: list[tuple[str, str]] = TEMPLATES, k: int = K) -> Column:
+    """Hits of the words' k-grams in the templates' ones (template, diagonal, t_pos, pos), in this order."""
+    rows: dict[str, list[str]] = {}
+    for t, _, i, gram, _ in template_grams(templates, k):
+        rows.setdefault(gram, []).append(f"named_struct('template', {t}, 't_pos', {i})")
+    if not rows:
+        return F.expr("cast(array() as array<struct<template: int, diagonal: int, t_pos: int, pos: int>>)")
+    # one hash set of k-grams decides; those of first and last words only spare most places building theirs
+    first, last = ({g.split(" ")[j] for g in rows} for j in (0, -1))
+    table = F.expr("map(" + ", ".join(f"'{gram}', array({', '.join(at)})" for gram, at in rows.items()) + ")")
+    gram = lambda i: F.array_join(F.slice(words, i + 1, F.lit(k)), " ")
+    places = indices(words, lambda w, i: w.isin(first) & F.get(words, i + (k - 1)).isin(last) & gram(i).isin(list(rows)))
+
+    def of(pos: Column) -> Column:
+        return F.transform(F.element_at(table, gram(pos)), lambda at: F.struct(at["template"].alias("template"), (pos - at["t_pos"]).alias("diagonal"), at["t_pos"].alias("t_pos"), pos.alias("pos")))
+
+    return F.array_sort(F.flatten(F.transform(places, of)))
+
+
+def spans_of(words: Column, templates: list[tuple[str, str]] = TEMPLATES, k: int = K, slack: int = 3, least: float = 0.5) -> Column:
+    """The verified spans of license text in a text's words: array of label, template, first_word, last_word, share."""
+    labels = F.lit([label for label, _ in templates]).cast("array<string>")
+    n_grams = F.lit([len(re.findall(WORD, notice)) - k + 1 for _, notice in templates]).cast("array<int>")
+
+    def span(run: Column) -> Column:
+        template = F.get(run, F.lit(0))["template"]
+        pos = F.transform(run, lambda h: h["pos"])
+        # a run of neighbouring diagonals is merged by the distinct template positions it covers
+        votes = F.size(F.array_distinct(F.transform(run, lambda h: h["t_pos"])))
+        return F.struct(
+            F.get(labels, template).alias("label"), template.alias("template"), F.array_min(pos).cast("long").alias("first_word"),
+            (F.array_max(pos) + (k - 1)).cast("long").alias("last_word"), (votes / F.get(n_grams, template)).alias("share"),
+        )
+
+    def merged(hits: Column) -> Column:
+        def fresh(h: Column, i: Column) -> Column:
+            before = F.get(hits, i - 1)
+            return (i == 0) | (h["template"] != before["template"]) | (h["diagonal"] - before["diagonal"] > slack)
+
+        runs = lambda starts: F.transform(starts, lambda s, j: F.slice(hits, s + 1, F.coalesce(F.get(starts, j + 1), F.size(hits)) - s))
+        return F.transform(let(indices(hits, fresh), runs), span)
+
+    return F.filter(let(template_hits(words, templates, k), merged), lambda s: s["share"] >= least)
+
+
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, k: int = K, slack: int = 3, least: float = 0.5) -> DataFrame:
     """id, text_hash, label, template, first_word, last_word, share: the verified spans of license text."""
-    spark = docs.sparkSession
-    grams = spark.createDataFrame(template_grams(templates, k), "template int, label string, t_pos int, gram string, n_grams int")
-    grams = grams.withColumn("h", F.xxhash64(*[F.get(F.split("gram", " "), F.lit(j)) for j in range(k)]))
-    # the last k - 1 places hash fewer words; no whole k-gram equals them, which the comparison below ensures
-    hashes = F.transform("words", lambda w, i: F.xxhash64(w, *[F.get("words", i + j) for j in range(1, k)]))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), words_of(F.col(text_col)).alias("words"))
-    rows = rows.filter(F.size("words") >= k).select("id", "text_hash", "words", F.posexplode(hashes).alias("pos", "h"))
-    hits = rows.join(F.broadcast(grams), "h").filter(F.array_join(F.slice("words", F.col("pos") + 1, k), " ") == F.col("gram"))
-    key = ["id", "text_hash", "template", "label", "n_grams"]
-    hits = hits.select(*key, (F.col("pos") - F.col("t_pos")).alias("diagonal"), "pos", "t_pos")
-    # the positions of a diagonal are at most the template's, so its set is bounded
-    diagonals = hits.groupBy(*key, "diagonal").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.collect_set("t_pos").alias("at"))
-    from pyspark.sql import Window
-
-    by = Window.partitionBy("id", "text_hash", "template").orderBy("diagonal")
-    new = (F.col("diagonal") - F.lag("diagonal", 1).over(by) <= slack).cast("int")
-    runs = diagonals.withColumn("run", F.sum(1 - F.coalesce(new, F.lit(0))).over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    # a run of neighbouring diagonals is merged by the distinct template positions it covers
-    merged = runs.select(*key, "run", "lo", "hi", F.explode("at").alias("t_pos")).groupBy(*key, "run").agg(
-        F.min("lo").alias("first_word"), (F.max("hi") + k - 1).alias("last_word"), F.count_distinct("t_pos").alias("votes")
-    )
-    share = F.col("votes") / F.col("n_grams")
-    return merged.filter(share >= least).select(F.col("id"), "text_hash", "label", "template", F.col("first_word").cast("long"), F.col("last_word").cast("long"), share.alias("share"))
+    found = let(words_of(F.col(text_col)), lambda w: spans_of(w, templates, k, slack, least))
+    # explode_outer: explode would have the spans found a second time, in a filter below it
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.explode_outer(found).alias("span"))
+    return rows.filter(F.col("span").isNotNull()).select("id", "text_hash", "span.*").distinct()
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs with n_words, n_base, first_word, last_word, base_labels, labels and license_score added."""
-    found = spans(docs, id_col, text_col, **options)
-    per_text = found.groupBy("id", "text_hash").agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
-    per_text = per_text.toDF("__wm_id", "__wm_hash", "__wm_found", "__wm_share")
     added = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "license_score"]
     base = docs.drop(*added) if set(added) & set(docs.columns) else docs
-    base = base.withColumn("__wm_words", words_of(F.col(text_col)))
-    places = [(label, phrase_places(F.col("__wm_words"), phrase)) for phrase, label in PHRASES]
-    every = F.concat(*[p for _, p in places])
-    named = F.array_compact(F.array(*[F.when(F.size(p) > 0, F.lit(label)) for label, p in places]))
-    base = base.withColumns({"n_words": F.size("__wm_words").cast("long"), "__wm_places": every, "__wm_base": F.array_sort(F.array_distinct(named)), "__wm_hash": F.xxhash64(text_col)}).drop("__wm_words")
-    base = base.withColumns({"n_base": F.size("__wm_places").cast("long"), "first_word": F.array_min("__wm_places"), "last_word": F.array_max("__wm_places")}).drop("__wm_places")
-    right = per_text.withColumnRenamed("__wm_hash", "__wm_hash2")
-    out = base.join(right, F.col(f"`{id_col}`").eqNullSafe(F.col("__wm_id")) & (F.col("__wm_hash") == F.col("__wm_hash2")), "left")
-    both = F.array_sort(F.array_union("__wm_base", F.coalesce("__wm_found", F.array().cast("array<string>"))))
-    return out.withColumns(
+
+    def found(words: Column) -> Column:
+        places = F.array(*[phrase_places(words, phrase) for phrase, _ in PHRASES])
+        return F.struct(F.size(words).cast("long").alias("n_words"), places.alias("places"), spans_of(words, **options).alias("spans"))
+
+    base = base.withColumn("__wm_found", let(words_of(F.col(text_col)), found))
+    every = F.flatten("__wm_found.places")
+    named = F.array_compact(F.array(*[F.when(F.size(F.col("__wm_found.places")[j]) > 0, F.lit(label)) for j, (_, label) in enumerate(PHRASES)]))
+    both = F.array_sort(F.array_union(named, F.transform("__wm_found.spans", lambda s: s["label"])))
+    share = F.array_max(F.transform("__wm_found.spans", lambda s: s["share"]))
+    return base.withColumns(
         {
-            "base_labels": F.array_join("__wm_base", ","),
+            "n_words": F.col("__wm_found.n_words"),
+            "n_base": F.size(every).cast("long"),
+            "first_word": F.array_min(every),
+            "last_word": F.array_max(every),
+            "base_labels": F.array_join(F.array_sort(F.array_distinct(named)), ","),
             "labels": F.array_join(both, ","),
-            "license_score": F.when(F.size("__wm_base") > 0, 1.0).otherwise(F.coalesce("__wm_share", F.lit(0.0))),
+            "license_score": F.when(F.size(every) > 0, 1.0).otherwise(F.coalesce(share, F.lit(0.0))),
         }
-    ).drop("__wm_id", "__wm_hash", "__wm_hash2", "__wm_found", "__wm_share", "__wm_base")
+    ).drop("__wm_found")
 
 
 def oracle(k: int = K, slack: int = 3, least: float = 0.5) -> str:
