@@ -1,14 +1,17 @@
 """Operators on Spark: odd inputs, SQL counterparts, brute force."""
 
 import re
-from collections import defaultdict
+import tracemalloc
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from waymesh.llm import ann, dedup, html, language, licenses, media, mixing, packing, quality, queries, toxicity
+from waymesh.llm import ann, dedup, html, language, learning, licenses, media, mixing, packing, quality, queries, toxicity
+from waymesh.llm.common import text_bytes
 
 ROWS = [
     (1, "The cat sat on the mat, the dog did not. " * 3, "en", "src1"),
@@ -396,3 +399,70 @@ def test_pipeline(spark, sf_dir):
     packed = corpus_pipeline.packing_stage(spark, docs, sf_dir)
     assert packed.filter("piece = 0").count() == before
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 4096").count() == 0
+
+
+@pytest.fixture
+def kernels(docs, labels, monkeypatch):
+    """The functions over Arrow batches that quality, language ID (counts, then scores) and near-dedup give to Spark."""
+    held = {}
+
+    def frame(name):
+        return lambda self, run, schema: held.update({name: run}) or self.sparkSession.createDataFrame([], schema)
+
+    def column(name):
+        # as in appended(): batches of one text column
+        return lambda docs, fields, kernel, *cols: held.update({name: lambda batches: (kernel(b.column(b.num_columns - 1)) for b in batches)})
+
+    monkeypatch.setattr(quality, "appended", column("quality"))
+    quality.quality(docs, quality.graded(labels))
+    monkeypatch.setattr(language, "appended", column("language"))
+    language.language_id(docs)
+    monkeypatch.setattr(type(docs), "mapInArrow", frame("counts"))
+    language.count_grams(docs, "text", "lang")
+    monkeypatch.setattr(type(docs), "mapInArrow", frame("near-dedup"))
+    dedup.described(docs, 5, "doc_id", "text")
+    return held
+
+
+def made_up(n):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzäé"), 5)) for _ in range(3000)]
+    return [" ".join(rng.choice(words, 1700)) for _ in range(n)]
+
+
+def test_stages_hold_little_beside_a_batch(kernels):
+    texts = made_up(800)
+    for name, run in kernels.items():
+        first = pa.array(range(800)) if name == "near-dedup" else pa.array(["en", "de"] * 400)
+        batch = pa.RecordBatch.from_arrays([first, pa.array(texts)], names=["first", "text"])
+        list(run(iter([batch.slice(0, 20)])))  # tables that are made once
+        tracemalloc.start()
+        for _ in run(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 50e6, (name, peak)
+
+
+def test_counts_of_many_blocks_add_up(kernels, monkeypatch):
+    monkeypatch.setattr(language, "BLOCK", 3000)
+    texts = [None, "", "É é", *(t[:1000].upper() for t in made_up(60)), "x" * 9000]
+    langs = ["en", "de", "de", *["en", "de", "fr"] * 20, "en"]
+    got = Counter()
+    for out in kernels["counts"](iter([pa.RecordBatch.from_arrays([pa.array(langs), pa.array(texts)], names=["lang", "text"])])):
+        for lang, key, n in zip(*(c.to_pylist() for c in out.columns), strict=True):
+            assert (lang, key) not in got
+            got[lang, key] = n
+    want = Counter()
+    for lang, text in zip(langs, texts, strict=True):
+        u, inv, _ = language.grams(*text_bytes(pa.array([(text or "").lower()])))
+        want.update((lang, int(u[i].view(np.int64))) for i in inv)
+    assert got == want
+
+
+def test_labelled_ids_start_no_python_workers(spark):
+    docs, grades = spark.range(60).selectExpr("id doc_id", "concat('text ', id) text"), spark.range(60).selectExpr("id doc_id", "cast(id % 3 as string) grade")
+    sample = learning.labelled_sample(docs, grades, {"0": 5, "1": 7})
+    assert Counter((r.grade, r.text == f"text {r.doc_id}", r.doc_id % 3 == int(r.grade)) for r in sample.collect()) == {("0", True, True): 5, ("1", True, True): 7}
+    assert "ExistingRDD" not in sample._jdf.queryExecution().executedPlan().toString()
+    assert learning.labelled_sample(docs, grades.limit(0), {"0": 5, "1": 7}).count() == 0

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U64, blocks, mix, text_bytes, word_hashes, written
+from .common import BLOCK, LOWER, U64, blocks, mix, text_bytes, word_hashes, written
 from .components import components
 
 SKETCH = 64
@@ -94,7 +94,7 @@ def described(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            for a, b in blocks(offsets):
+            for a, b in blocks(offsets, BLOCK):
                 values, first = shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], k)
                 sums = [np.concatenate([[U64(0)], np.cumsum(mix(values ^ U64(seed)), dtype=np.uint64)]) for seed in (0x51ED27, 0xA0761D)]
                 sig = [(s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums]

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, appended, blocks, dropped, text_bytes, written
+from .common import BLOCK, U64, appended, blocks, dropped, text_bytes, written
 
 ORDER, BLANK, UND = 4, 32, "und"
 
@@ -55,6 +55,7 @@ def _codes(points: np.ndarray) -> np.ndarray:
 
 
 DENSE = 1 << 23
+PARTS = 8  # blocks whose counts are held apart before they are summed
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,7 +92,8 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     if not small:
         u, inv = np.unique(key, return_inverse=True)
         return u, inv, kept
-    seen = np.bincount(key, minlength=1)
+    seen = np.zeros(base**ORDER, bool)
+    seen[key] = True
     found = np.flatnonzero(seen)
     place = np.zeros(len(seen), np.int32)
     place[found] = np.arange(len(found))
@@ -101,6 +103,12 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return u, place[key], kept
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct 4-grams, counts) of several such pairs."""
+    u, inv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return u, np.bincount(inv, np.concatenate([p[1] for p in parts]), len(u)).astype(np.int64)
+
+
 class Model:
     """Sorted arrays of every language and order, from summed 4-gram counts."""
 
@@ -158,17 +166,18 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         for batch in batches:
             kinds = pc.dictionary_encode(batch.column(0))
             names, code = kinds.dictionary, np.asarray(kinds.indices)
-            data, offsets = text_bytes(pc.utf8_lower(batch.column(1)))
             found: dict[int, list] = {}
-            for a, b in blocks(offsets):
-                u, inv, first = grams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            for a, b in blocks(text_bytes(batch.column(1))[1], BLOCK):
+                u, inv, first = grams(*text_bytes(pc.utf8_lower(batch.column(1).slice(a, b - a))))
                 of = np.repeat(code[a:b], np.diff(first))
                 for k in np.unique(code[a:b]):
                     n = np.bincount(inv[of == k], minlength=len(u))
-                    found.setdefault(int(k), []).append((u[n > 0], n[n > 0]))
+                    parts = found.setdefault(int(k), [])
+                    parts.append((u[n > 0], n[n > 0]))
+                    if len(parts) == PARTS:
+                        parts[:] = [_summed(parts)]
             for k, parts in found.items():
-                u, inv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-                n = np.bincount(inv, np.concatenate([p[1] for p in parts]), len(u)).astype(np.int64)
+                u, n = _summed(parts)
                 yield pa.RecordBatch.from_arrays([pa.repeat(names[k], len(u)), pa.array(u.view(np.int64)), pa.array(n)], names=["lang", "key", "n"])
 
     return src.mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
@@ -198,9 +207,8 @@ def language_id(
         column = texts.cast(pa.large_string())
         letter = np.asarray(pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False), bool)
         pred, score, cross, bad = np.full(len(letter), UND, object), np.zeros(len(letter)), np.full(len(letter), np.nan), np.ones(len(letter), bool)
-        data, offsets = text_bytes(pc.utf8_lower(column))
-        for a, b in blocks(offsets) if m else ():
-            u, inv, first = grams(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        for a, b in blocks(text_bytes(column)[1], BLOCK) if m else ():
+            u, inv, first = grams(*text_bytes(pc.utf8_lower(column.slice(a, b - a))))
             n = np.diff(first)
             some = np.flatnonzero(n)
             if not len(some):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +15,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, classes: dict[str, int],
 
     labels: id and grade (string), one row per id. Only rows that are not held out are taken. The
     ids are a bounded set (the sum of `classes`), so they are sent to all executors and the text
-    table is read once, without a shuffle.
+    table is read once, without a shuffle. They travel as an Arrow table: a frame of Python rows would
+    start Python workers of a second kind in all executors, which stay.
     """
     spark = docs.sparkSession
     open_rows = labels.filter(F.col(id_col).isNotNull() & ~held_out(id_col))
     chosen = []
     for g, most in classes.items():
-        chosen += open_rows.filter(F.col(grade) == g).orderBy(F.xxhash64(id_col), id_col).select(id_col, grade).limit(most).collect()
-    ids = spark.createDataFrame(chosen, open_rows.select(id_col, grade).schema)
+        chosen.append(open_rows.filter(F.col(grade) == g).orderBy(F.xxhash64(id_col), id_col).select(id_col, grade).limit(most).toArrow())
+    ids = spark.createDataFrame(pa.concat_tables(chosen), open_rows.select(id_col, grade).schema)
     return docs.select(id_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(ids), id_col)
 
 

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import appended, blocks, text_bytes, word_hashes
+from .common import BLOCK, appended, blocks, text_bytes, word_hashes
 from .learning import Adam, labelled_sample, sigmoid, trigram_buckets
 
 BITS, SCALE, PRIOR = 16, 100.0, 200
@@ -106,7 +106,7 @@ def quality(
             w, th = got
             data, offsets = text_bytes(texts)
             s = np.zeros(n)
-            for a, b in blocks(offsets):
+            for a, b in blocks(offsets, BLOCK):
                 x = data[offsets[a] : offsets[b]]
                 sums = np.zeros(len(x) + 1)
                 if len(x) > 2:
