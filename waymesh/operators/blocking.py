@@ -35,10 +35,8 @@ def candidates(ref: DataFrame, target: DataFrame, metres: float = 50.0, cell: fl
 
 def centre(xy: Column) -> Column:
     """Centroid of a line: its pieces' midpoints weighted by length."""
-    p = g.pieces(xy)
-    n = g.length(xy)
-    side = lambda c: g.total(F.transform(p, lambda s: (s["a"][c] + s["b"][c]) / 2 * g.distance(s["a"], s["b"])))
-    return F.when(n > 0, g.point(side("x") / F.when(n > 0, n), side("y") / F.when(n > 0, n))).otherwise(g.first(xy))
+    side = lambda c: g.total(F.transform(g.pieces(xy), lambda s: (s["a"][c] + s["b"][c]) / 2 * g.distance(s["a"], s["b"])))
+    return g.let(g.length(xy), lambda n: F.when(n > 0, g.point(side("x") / F.when(n > 0, n), side("y") / F.when(n > 0, n))).otherwise(g.first(xy)))
 
 
 def endpoints(rows: DataFrame) -> DataFrame:

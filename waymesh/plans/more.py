@@ -117,9 +117,8 @@ def collinear_gap(spark, d):
 
 @query("q175_parallel_alignment")
 def parallel_alignment(spark, d):
-    pts = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: g.interpolate(B(), g.length(B()) * i / 15))
-    steps = F.zip_with(F.slice(pts, 1, 15), F.slice(pts, 2, 15), g.bearing)
-    cos = F.transform(steps, lambda h: F.cos(F.radians(g.heading_delta(h, g.heading(A())))))
+    steps = g.let(g.spread(B(), 16), lambda pts: F.zip_with(F.slice(pts, 1, 15), F.slice(pts, 2, 15), g.bearing))
+    cos = g.let(g.heading(A()), lambda way: F.transform(steps, lambda h: F.cos(F.radians(g.heading_delta(h, way)))))
     p = both(spark, d, 10.0).withColumn("c", cos)
     return p.select("ref_id", "target_id", F.round(g.mean(F.col("c")), 6).alias("alignment"), F.round(F.size(F.filter("c", lambda v: v >= 0.7)) / F.size("c"), 6).alias("fraction"))
 

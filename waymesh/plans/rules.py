@@ -166,8 +166,7 @@ def near_duplicate_ratio(spark, d):
 @query("q178_walk_distance")
 def walk_distance(spark, d):
     a, b = F.col("ref_xy"), F.col("target_xy")
-    at = lambda xy: F.transform(F.sequence(F.lit(0), F.lit(16)), lambda i: g.interpolate(xy, g.length(xy) * i / 16))
-    p = blocking.box_join(R(spark, d).select("id", "xy"), T(spark, d).select("id", "xy"), 10.0).withColumns({"p": at(a), "q": at(b)})
+    p = blocking.box_join(R(spark, d).select("id", "xy"), T(spark, d).select("id", "xy"), 10.0).withColumns({"p": g.spread(a, 17), "q": g.spread(b, 17)})
     flip = g.distance(F.element_at("p", 1), F.element_at("q", 1)) > g.distance(F.element_at("p", 1), F.element_at("q", -1))
     p = p.withColumn("q", F.when(flip, F.reverse("q")).otherwise(F.col("q")))
     steps = lambda c: F.zip_with(F.slice(c, 1, 16), F.slice(c, 2, 16), g.bearing)
