@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymesh.functions import geometry as g
-from waymesh.operators import blocking
+from waymesh.operators import blocking, matching
+from waymesh.sources import synthetic
 
 XY = "array<struct<x:double,y:double>>"
 
@@ -33,3 +34,11 @@ def test_distances_of_lines_pair_their_pieces_a_few_times_only(spark):
     a, b = F.col("a"), F.col("b")
     assert plan(rows.select(g.percentile(g.vertex_distances(a, b), 0.95).alias("v"))).count("zip_with(") <= 2
     assert plan(rows.select(g.line_distance(a, b).alias("v"))).count("zip_with(") <= 4
+
+
+def test_segments_and_written_tables_are_never_sent_to_the_driver(spark, sf_dir):
+    r, t = synthetic.reference(spark, sf_dir), synthetic.target(spark, sf_dir)
+    e = blocking.endpoints(matching.scratch(r.select("id", "xy")))
+    joins = [blocking.box_join(r, t, 10.0), blocking.endpoint_pairs(r, 10.0), blocking.point_join(e, e, 10.0), e.join(r.select("id", "name"), "id"), e.join(matching.scratch(r.select("id")), "id", "left_anti")]
+    for df in joins:
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()

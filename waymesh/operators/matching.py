@@ -15,13 +15,16 @@ from . import blocking
 
 
 def scratch(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the folder of spark.checkpoint.dir, reread; cuts the lineage of loops."""
+    """df as a Parquet table in the folder of spark.checkpoint.dir, reread; cuts the lineage of loops.
+
+    Joins with it are merged: Spark would judge it by the size of its compressed files and send millions of rows to the driver.
+    """
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None) or _own_dir(spark.sparkContext.applicationId)
     path = f"{root.rstrip('/')}/waymesh-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_forget, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).hint("merge")
 
 
 @cache
