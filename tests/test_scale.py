@@ -1,10 +1,14 @@
 """What keeps work, memory and the driver's share in proportion to the input."""
 
+import random
+import time
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from waymesh.functions import geometry as g
-from waymesh.operators import blocking, matching
+from waymesh.operators import alignment, blocking, matching
 from waymesh.sources import synthetic
 
 XY = "array<struct<x:double,y:double>>"
@@ -42,3 +46,20 @@ def test_segments_and_written_tables_are_never_sent_to_the_driver(spark, sf_dir)
     joins = [blocking.box_join(r, t, 10.0), blocking.endpoint_pairs(r, 10.0), blocking.point_join(e, e, 10.0), e.join(r.select("id", "name"), "id"), e.join(matching.scratch(r.select("id")), "id", "left_anti")]
     for df in joins:
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_alignments_of_a_block_equal_those_of_single_pairs_and_are_fast():
+    rng = random.Random(3)
+
+    def line(n):
+        return np.cumsum([(rng.uniform(0, 40), rng.uniform(-20, 20)) for _ in range(n)], 0)
+
+    refs = [line(rng.choice((2, 2, 3, 9, 40))) for _ in range(3000)]
+    targets = [(x[::-1] if rng.random() < 0.5 else x)[: rng.choice((1, 2, 60))] + rng.gauss(0, 4) for x in refs]
+    began = time.time()
+    rows, fields = alignment.align_all(refs, targets)
+    assert time.time() - began < 12  # 26 s and more pair by pair
+    got = {int(i): tuple(f[k].item() for f in fields) for k, i in enumerate(rows)}
+    points = lambda a: [{"x": x, "y": y} for x, y in a]
+    for i in range(0, 3000, 100):
+        assert got.get(i, (None,) * 8) == alignment.align(points(refs[i]), points(targets[i]))
