@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymesh.functions import geometry as g
-from waymesh.operators import alignment, blocking, matching
+from waymesh.operators import alignment, assignment, blocking, matching
 from waymesh.sources import synthetic
 
 XY = "array<struct<x:double,y:double>>"
@@ -63,3 +63,32 @@ def test_alignments_of_a_block_equal_those_of_single_pairs_and_are_fast():
     points = lambda a: [{"x": x, "y": y} for x, y in a]
     for i in range(0, 3000, 100):
         assert got.get(i, (None,) * 8) == alignment.align(points(refs[i]), points(targets[i]))
+
+
+def test_buffers_counted_by_spans_equal_those_counted_point_by_point():
+    rng = random.Random(4)
+
+    def far(grid, xy):
+        best = np.full(len(grid), np.inf)
+        for p, q in zip(xy, xy[1:], strict=False):
+            v = q - p
+            t = np.clip((grid - p) @ v / max(v @ v, 1e-12), 0, 1)
+            best = np.minimum(best, np.hypot(*(grid - p - t[:, None] * v).T))
+        return best
+
+    def line():
+        return np.cumsum([(rng.choice((0, 0, rng.randint(-30, 30))), rng.choice((0, rng.randint(-30, 30)))) for _ in range(rng.choice((1, 2, 3, 6)))], 0) + 0.1 * rng.randint(0, 9)
+
+    refs = [line() for _ in range(200)]
+    targets = [x + rng.randint(-6, 6) if rng.random() < 0.7 else line() for x in refs]
+    want = []
+    for a, b in zip(refs, targets, strict=True):
+        p = np.concatenate([a, b])
+        lo, hi = p.min(0) - 5, p.max(0) + 5
+        grid = np.stack(np.meshgrid(np.arange(lo[0], hi[0], 0.5), np.arange(lo[1], hi[1], 0.5)), -1).reshape(-1, 2)
+        x, y = far(grid, a) <= 5, far(grid, b) <= 5
+        want.append((x & y).sum() / max((x | y).sum(), 1))
+    assert list(assignment.iou_all(refs, targets, 5.0)) == want
+    # a grid of 4e8 points, which is never held as a whole
+    long = [np.array([(0.0, 0.0), (10000.0, 10000.0)])]
+    assert assignment.iou_all(long, [long[0] + [0.0, 1.0]], 5.0, 0.5)[0] == pytest.approx(0.87, abs=0.01)

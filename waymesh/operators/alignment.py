@@ -182,15 +182,15 @@ def align_all(refs: list[np.ndarray], targets: list[np.ndarray], buffer: float =
 
 def align(ref: list | None, target: list | None, buffer: float = 15.0) -> tuple[float | None, ...]:
     """(ref_start, ref_end, target_start, target_end, is_reversed, score, tightened, truncated); nulls for lines without length."""
-    points = lambda xy: np.array([(q["x"], q["y"]) for q in xy or []], float).reshape(-1, 2)
-    rows, fields = align_all([points(ref)], [points(target)], buffer)
+    xy = lambda line: np.array([(q["x"], q["y"]) for q in line or []], float).reshape(-1, 2)
+    rows, fields = align_all([xy(ref)], [xy(target)], buffer)
     return tuple(f[0].item() for f in fields) if len(rows) else (None,) * 8
 
 
 FIELDS = "ref_start double, ref_end double, target_start double, target_end double, is_reversed boolean, score double, tightened boolean, truncated boolean"
 
 
-def _points(lines: pa.Array) -> list[np.ndarray]:
+def points(lines: pa.Array) -> list[np.ndarray]:
     """Arrays of points of a column of lines; null lines have none."""
     flat = lines.flatten()
     xy = np.column_stack([pc.struct_field(flat, c).to_numpy(zero_copy_only=False).astype(float) for c in ("x", "y")])
@@ -205,7 +205,7 @@ def aligned(pairs: DataFrame, ref: Column, target: Column, buffer: float = 15.0)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             if part.num_rows:
-                at, fields = align_all(_points(part["__ref"]), _points(part["__target"]), buffer)
+                at, fields = align_all(points(part["__ref"]), points(part["__target"]), buffer)
                 kept = part.drop_columns(["__ref", "__target"]).take(pa.array(at, pa.int64()))
                 kinds = [pa.bool_() if f.endswith("boolean") else pa.float64() for f in FIELDS.split(", ")]
                 yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array(f, k) for f, k in zip(fields, kinds, strict=True)]], [*kept.schema.names, *names])
