@@ -92,3 +92,19 @@ def test_buffers_counted_by_spans_equal_those_counted_point_by_point():
     # a grid of 4e8 points, which is never held as a whole
     long = [np.array([(0.0, 0.0), (10000.0, 10000.0)])]
     assert assignment.iou_all(long, [long[0] + [0.0, 1.0]], 5.0, 0.5)[0] == pytest.approx(0.87, abs=0.01)
+
+
+def test_pairs_of_a_product_are_looked_up_not_formed(spark, sf_dir):
+    from waymesh.plans import relational
+
+    at = relational.universe_product(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in at.splitlines() if "Join" in x]
+    assert joins and all("gers_id" in x or "local_id" in x for x in joins)  # none by group alone
+
+
+def test_conflicts_of_sets_do_not_meet_in_a_stream_of_rows(spark):
+    rows = [(f"r{i}", f"t{i}{k}", 0.9 - k / 10, 0.0, 1.0, 0.0, 1.0, 50.0, 50.0) for i in range(40) for k in range(3)]
+    pairs = spark.createDataFrame(rows, "ref_id string, target_id string, confidence double, ref_from double, ref_to double, target_from double, target_to double, ref_length double, target_length double")
+    out = assignment.coverage_conflicts(pairs)
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().optimizedPlan().toString()  # a call and a frame for each set
+    assert {(r.target_id, r.decision) for r in out.collect()} == {(f"t{i}{k}", "review" if k else "match") for i in range(40) for k in range(3)}

@@ -32,27 +32,33 @@ def contiguity_groups(rows: DataFrame, metres: float = 5.0, turn: float = 40.0)
 def coverage_conflicts(pairs: DataFrame, metres: float = 5.0) -> DataFrame:
     """pairs with decision: best first, a pair is for review if its span overlaps an accepted one by more than `metres` on either side.
 
-    Order matters, so each set of pairs that share sides is walked in one task; sets are components
-    of the accepted edges, which blocking keeps local.
+    Order matters, so each set of pairs that share sides is walked in one task, set after set in
+    sorted rows; sets are components of the accepted edges, which blocking keeps local.
     """
+    pairs = matching.scratch(pairs.select("ref_id", "target_id", "confidence", "ref_from", "ref_to", "target_from", "target_to", "ref_length", "target_length"))
     edges = pairs.select(F.concat(F.lit("r:"), "ref_id").alias("u"), F.concat(F.lit("t:"), "target_id").alias("v"))
     own = matching.components(edges).withColumnRenamed("node", "__n")
     named = pairs.join(own, F.concat(F.lit("r:"), "ref_id") == F.col("__n")).drop("__n")
     cols = ["component", "ref_id", "target_id", "confidence", "ref_from", "ref_to", "target_from", "target_to", "ref_length", "target_length"]
 
-    def walk(part: pd.DataFrame) -> pd.DataFrame:
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         taken: dict[str, list[tuple[float, float]]] = {}
-        out = []
-        for r in part.sort_values(["confidence", "ref_id", "target_id"], ascending=[False, True, True]).itertuples():
-            spans = {"r:" + r.ref_id: (r.ref_from * r.ref_length, r.ref_to * r.ref_length), "t:" + r.target_id: (r.target_from * r.target_length, r.target_to * r.target_length)}
-            bad = any(min(hi, b) - max(lo, a) > metres for k, (lo, hi) in spans.items() for a, b in taken.get(k, ()))
-            if not bad:
-                for k, v in spans.items():
-                    taken.setdefault(k, []).append(v)
-            out.append((r.ref_id, r.target_id, r.confidence, "review" if bad else "match"))
-        return pd.DataFrame(out, columns=["ref_id", "target_id", "confidence", "decision"])
-
-    return named.select(*cols).groupBy("component").applyInPandas(walk, "ref_id string, target_id string, confidence double, decision string")
+        at = None
+        for part in batches:
+            out = []
+            for r in part.itertuples():
+                if r.component != at:
+                    taken, at = {}, r.component
+                spans = {"r:" + r.ref_id: (r.ref_from * r.ref_length, r.ref_to * r.ref_length), "t:" + r.target_id: (r.target_from * r.target_length, r.target_to * r.target_length)}
+                bad = any(min(hi, b) - max(lo, a) > metres for k, (lo, hi) in spans.items() for a, b in taken.get(k, ()))
+                if not bad:
+                    for k, v in spans.items():
+                        taken.setdefault(k, []).append(v)
+                out.append((r.ref_id, r.target_id, r.confidence, "review" if bad else "match"))
+            yield pd.DataFrame(out, columns=["ref_id", "target_id", "confidence", "decision"])
+
+    rows = named.select(*cols).repartition("component").sortWithinPartitions("component", F.isnan("confidence"), F.desc("confidence"), "ref_id", "target_id")
+    return rows.mapInPandas(walk, "ref_id string, target_id string, confidence double, decision string")
 
 
 #: Grid points and rows that are held at once, and the width about a buffer's edge in which points are measured one by one.
