@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymesh.functions import geometry as g
-from waymesh.operators import alignment, assignment, blocking, matching
+from waymesh.operators import alignment, assignment, blocking, integration, matching
 from waymesh.sources import synthetic
 
 XY = "array<struct<x:double,y:double>>"
@@ -108,3 +108,19 @@ def test_conflicts_of_sets_do_not_meet_in_a_stream_of_rows(spark):
     out = assignment.coverage_conflicts(pairs)
     assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().optimizedPlan().toString()  # a call and a frame for each set
     assert {(r.target_id, r.decision) for r in out.collect()} == {(f"t{i}{k}", "review" if k else "match") for i in range(40) for k in range(3)}
+
+
+def test_orphans_near_the_network_are_not_paired_with_all_of_it(spark, monkeypatch):
+    line = lambda x, y: [(float(x), float(y)), (float(x) + 5, float(y))]
+    network = spark.createDataFrame([(f"n{i}", line(10 * i, 0)) for i in range(60)], f"id string, xy {XY}")
+    lost = spark.createDataFrame([("a", line(0, 7)), ("b", line(300, 49.9)), ("c", line(300, 50.1)), ("d", line(300, 499)), ("e", line(300, 501))], f"id string, xy {XY}")
+    seen, nearest = [], blocking.nearest
+
+    def watched(left, right, metres, cell):
+        seen.append((metres, {r.id for r in left.select("id").collect()}))
+        return nearest(left, right, metres, cell)
+
+    monkeypatch.setattr(blocking, "nearest", watched)
+    got = {r.id: r.nearest_m for r in integration.orphan_components(lost, network).collect()}
+    assert got == {"a": 7.0, "b": 49.9, "c": 50.1, "d": 499.0, "e": None}
+    assert seen[-1] == (500.0, {"c", "d", "e"})

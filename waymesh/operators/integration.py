@@ -203,7 +203,10 @@ def orphan_components(lost: DataFrame, network: DataFrame, joint: float = 6.0, w
     """
     own = network_components(lost, joint)
     size = own.groupBy("component").agg(F.count("*").alias("n"))
-    far = blocking.nearest(lost, network, within, within).select(F.col("ref_id").alias("id"), F.col("distance").alias("nearest_m"))
+    # a tenth of the way finds most; only the rest is paired with all within the whole of it
+    close = matching.scratch(blocking.nearest(lost, network, within / 10, within / 5))
+    rest = lost.join(close.select(F.col("ref_id").alias("id")), "id", "left_anti")
+    far = close.unionByName(blocking.nearest(rest, network, within, within)).select(F.col("ref_id").alias("id"), F.col("distance").alias("nearest_m"))
     m = g.length(F.col("xy"))
     marked = lost.select("id", F.when(m > 50, "high").when(m > 10, "medium").otherwise("low").alias("priority"))
     return marked.join(own, "id").join(size, "component").join(far, "id", "left").select("id", "component", "n", "nearest_m", "priority")
